@@ -42,7 +42,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     counts = hashed.select(F.explode(F.array_distinct("hashes")).alias("h")).where("h is not null")
     frequent = stage(counts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "lines")
     drops = hashed.select("th", F.posexplode("hashes").alias("pos", "h")).where("h is not null")
-    drops = drops.join(frequent, "h", "left_semi").groupBy("th").agg(F.collect_set("pos").alias("drop"))
+    # written first: the join below then has a plain shuffle on both sides, which AQE splits at a
+    # text that many rows share
+    drops = stage(drops.join(frequent, "h", "left_semi").groupBy("th").agg(F.collect_set("pos").alias("drop")), "drops")
     lines = F.split(F.coalesce(F.col(col), F.lit("")), "\n", -1)
     joined = base.withColumn("th", text_hash(col)).join(drops, "th", "left").withColumn("lines", lines)
     kept = F.when(F.col("drop").isNull(), F.coalesce(F.col(col), F.lit(""))).otherwise(

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import format_chat, read_back, text_parts
-from .common import prepare, table
+from .common import crc_mod, prepare, table
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .quality import fit_quality, score_quality
+from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -99,3 +101,25 @@ u AS (SELECT *, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1,
 c AS (SELECT doc_id, lang, source, n_chars, text, unnest(generate_series(0, (SELECT count(*) FROM cdf WHERE cdf.s = coalesce(u.source, '') AND u.u >= cdf.cdf AND cdf.k < 190) - 1)) AS mix_copy FROM u)
 SELECT doc_id, text, lang, source, n_chars, mix_copy::INT AS mix_copy,
   substr(md5('mix-order:' || coalesce(doc_id::VARCHAR, '') || ':' || mix_copy::VARCHAR), 1, 16) AS mix_order FROM c"""
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from the labelled rows outside the held-out quarter."""
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod("doc_id", 4) == 2
+    model = fit_quality(docs, labels, train=~held)
+    out = score_quality(docs, model, keep=["doc_id"], out="score")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from confirmed toxic rows outside the held-out fifth."""
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod("doc_id", 5) == 0
+    model = fit_toxicity(docs, labels, train=~held)
+    out = score_toxicity(docs, model, keep=["doc_id"], out="score")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
