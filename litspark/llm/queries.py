@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .chat_format import format_chat, read_back, text_parts
 from .common import crc_mod, prepare, table
+from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
+from .minhash import near_duplicates
 from .mixing import mix
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
@@ -123,3 +125,41 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, labels, train=~held)
     out = score_toxicity(docs, model, keep=["doc_id"], out="score")
     return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold four fifths of a benchmark item's five-word shingles."""
+    prepare(spark)
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+WORDS_SQL = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+SQL["op3_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, {WORDS_SQL} AS w FROM benchmark),
+ds AS (SELECT DISTINCT r, doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT q, item_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM i WHERE len(w) > 0),
+n AS (SELECT q, count(*) AS n FROM s GROUP BY q)
+SELECT doc_id, item_id, n::BIGINT AS item_shingles, count(*)::BIGINT AS shared, count(*) / n::DOUBLE AS containment
+FROM ds JOIN s USING (s) JOIN n USING (q) GROUP BY r, doc_id, q, item_id, n HAVING count(*) >= 0.8 * n - 1e-9"""
+
+
+@query
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components on four-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4).drop("same_set")
+
+
+SQL["op8_minhash_dedup"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 3, 1)), lambda k: array_to_string(w[k:k + 3], ' '))) AS s FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+r AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.a),
+c AS (SELECT a, min(c) AS c FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
+FROM d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
