@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .chat_format import format_chat, read_back, text_parts
 from .common import crc_mod, prepare, table
 from .decontaminate import find_contamination
+from .embedding_dedup import link_embeddings
 from .line_dedup import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
@@ -163,3 +164,20 @@ r AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e
 c AS (SELECT a, min(c) AS c FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
 FROM d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors' links at a cosine of 0.9 and their components."""
+    return link_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+SQL["op10_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a),
+c AS (SELECT a, min(c) AS c FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, v.vec_id = c.c AS kept
+FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id"""
