@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes worked on at once; a longer document is a slice of its own.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240817))

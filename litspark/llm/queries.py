@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import fit_quality, score_quality
+from .substring_dedup import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
@@ -181,3 +182,22 @@ c AS (SELECT a, min(c) AS c FROM r GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, v.vec_id = c.c AS kept
 FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id"""
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that start in an earlier document too, removed."""
+    out = remove_repeats(table(spark, sf_dir, "documents"), window=50, keep_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op6_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT r, doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS g FROM (SELECT *, unnest(generate_series(1, len(w) - 49)) AS p FROM d WHERE len(w) >= 50)),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g HAVING count(*) > 1),
+b AS (SELECT r, p FROM g JOIN f USING (g) WHERE first < doc_id),
+gone AS (SELECT DISTINCT r, unnest(generate_series(p, p + 49)) AS p FROM b),
+w AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+k AS (SELECT r, count(*) AS n, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY w.p) AS kept FROM w LEFT JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, coalesce(k.n, 0)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)"""
