@@ -14,6 +14,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .quality import fit_quality, score_quality
 from .substring_dedup import remove_repeats
+from .suffix_dedup import remove_repeated_bytes
 from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
@@ -201,3 +202,10 @@ w AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM
 k AS (SELECT r, count(*) AS n, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY w.p) AS kept FROM w LEFT JOIN gone USING (r, p) GROUP BY r)
 SELECT d.doc_id, coalesce(k.n, 0)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)"""
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that start anywhere else too, removed."""
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), window=200, keep_bytes=False)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")

@@ -97,7 +97,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     setup(docs)
     own = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").alias("x"))
     keyed = own.where("key IS NOT NULL")
-    texts, _ = distinct_texts(keyed, "key", "x")
+    texts = distinct_texts(keyed, "key", "x")
     marks = verdicts(texts, window, gram)
     found = stage(cut(texts.join(marks, "k", "left").select("th", "m", "x", "at"), window, gram, keep_text), "results")
     rows = keyed.select("key", text_hash("x").alias("th")).join(found, "th")

@@ -32,9 +32,9 @@ def word_symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return K.prefix(K.word_hashes(buf, starts, ends), K.P_WORD), wo, K.P_WORD
 
 
-def distinct_texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Texts: a row (k, th, m, x) per different text, m its least key (null keys as the least long),
-    bucketed by k. Facts: (th, m, n) with its number of rows."""
+def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """A row (k, th, m, n, x) per different text, bucketed by k: m is its least key (null keys as the
+    least long), n its number of rows."""
     spark = docs.sparkSession
     rows = docs.select(
         text_hash(F.col(f"`{text}`")).alias("th"), F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(LEAST_ID)).alias("m"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("x")
@@ -43,10 +43,10 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
     facts = stage(per.withColumn("k", F.xxhash64("th", "m")), "facts")
     every = stage_bucketed(rows.withColumn("k", F.xxhash64("th", "m")), "texts", "k")
     release(spark)
-    texts = every.join(facts.select("k"), "k")
+    texts = every.join(facts.select("k", "n"), "k")
     if facts.where("same > 1").limit(1).count():  # rows that repeat both key and text
         texts = texts.dropDuplicates(["k"])
-    return texts.select("k", "th", "m", "x"), facts.select("th", "m", "n")
+    return texts.select("k", "th", "m", "n", "x")
 
 
 def anchor_rows(texts: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
