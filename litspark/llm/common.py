@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,19 @@ ARROW_ROWS = 500
 DOC_COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
-def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, so that a worker's memory does not follow the longest documents."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Small Arrow batches, so that a worker's memory does not follow the longest documents; and
+    this package for the executors' Python, wherever they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if not getattr(sc, "_litspark_sent", False):
+        package = Path(__file__).resolve().parents[1]
+        packed = Path(tempfile.mkdtemp(prefix="litspark-")) / "litspark_package.zip"
+        with zipfile.ZipFile(packed, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(packed))
+        sc._litspark_sent = True
 
 
 def partitions(spark: SparkSession) -> int:
@@ -41,7 +53,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/litspark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -64,7 +76,7 @@ def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     n = partitions(spark)
     table = f"litspark_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/litspark/{table}"
-    df.repartition(n, key).write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(table)
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return spark.table(table)
 
 

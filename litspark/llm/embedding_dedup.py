@@ -184,7 +184,7 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """
     spark = vectors.sparkSession
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    prepare(spark, 2000)
     element = vectors.schema[vector].dataType.elementType
     kind = "f4" if isinstance(element, T.FloatType) else "f8"
     good = stage(usable(vectors, key, vector, kind), "vectors")

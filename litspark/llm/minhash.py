@@ -33,6 +33,7 @@ POSTED, POSTED_SHARED = 20, 6
 MATCHES = 36
 BLOCK = 1024
 #: Longer lists send each class's best matches first.
+DEBUG = False
 WIDE = 64
 BEST = 4
 
@@ -212,8 +213,9 @@ def deal(lists: DataFrame, classes: DataFrame, labels: DataFrame | None) -> Data
     )
 
 
-def confirm(spark, docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose full shingle sets are as similar as the threshold."""
+def member_sets(docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, shingles) of the classes in ``pairs``, bucketed by id; one text of each is read again."""
+    spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     who = stage(classes.select("id", "rep", "k1", "k2").join(ids, "id", "left_semi"), "members")
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("rep"), F.col(f"`{text}`").alias("x")).join(who, "rep")
@@ -229,6 +231,11 @@ def confirm(spark, docs: DataFrame, key: str, text: str, k: int, classes: DataFr
     prepare(spark)
     sets = stage_bucketed(rows.mapInArrow(own_set, "id long, shingles binary"), "sets", "id")
     release(spark)
+    return sets
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose full shingle sets are as similar as the threshold."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -240,6 +247,7 @@ def confirm(spark, docs: DataFrame, key: str, text: str, k: int, classes: DataFr
                     ok.append(i)
             yield pa.record_batch({c: b.column(c).take(pa.array(ok, pa.int64())) for c in ("a", "b")})
 
+    prepare(pairs.sparkSession)
     with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     both = with_a.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(check, "a long, b long")
@@ -262,7 +270,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     rows = stage(sketch(docs, key, text, k), "sketches")
     classes = rows.where("n > 0 AND d IS NOT NULL").groupBy("k1", "k2", "n").agg(F.min("d").alias("rep"), F.first("sig").alias("sig"))
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
     value = lambda c: F.conv(F.hex(F.substring("sig", 4 * c + 1, 4)), 16, 10).cast("bigint")
     posting = classes.select("id", F.posexplode(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
@@ -279,13 +286,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     again = prefix.groupBy("key").agg(F.count("*").alias("posted_len")).where("posted_len > 1")
     lists = stage(prefix.drop("len").join(again, "key").withColumnRenamed("posted_len", "len"), "lists")
 
-    links = None
-    labels = None
+    links = labels = sets = None
     for best in (BEST, 0):
+        prepare(spark, 4000)
         cells = deal(lists if best else lists.where(F.col("len") > WIDE), classes, labels)
         cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell")
         pairs = stage(merge_lists(cells, threshold, best).distinct(), "pairs")
-        found = stage(confirm(spark, docs, key, text, k, classes, pairs, threshold), "links")
+        if DEBUG: print("round", best, "pairs", pairs.count(), "cells", cells.count())
+        # whoever has a retained pair has a best one, so the first round knows all members
+        sets = member_sets(docs, key, text, k, classes, pairs) if sets is None else sets
+        found = stage(confirm(pairs, sets, threshold), "links")
         links = found if links is None else links.unionAll(found)
         labels = components(links, "a", "b")
     reps = classes.select(F.col("id").alias("node"), "rep").join(labels, "node")
