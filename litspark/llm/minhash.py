@@ -8,9 +8,9 @@
    the first one in which both are posted. Those with enough matching coordinates are retained.
 4. Retained pairs are confirmed on the full shingle sets; links give connected components.
 
-Lists longer than a block are split into pairs of blocks, each a task's work. From such lists each
-class at first only sends its best matches; once these have joined most of a group, the rest is
-sent for pairs that are still in different components.
+A wide list does not send its pairs, whose number grows with the square of a group of copies. It
+sends the classes that have a retained pair; their sets are dealt to the list's blocks, every two of
+which a task compares exactly, and a spanning set of the links comes back: all that components need.
 """
 
 from __future__ import annotations
@@ -31,11 +31,8 @@ COORDINATES = 64
 POSTED, POSTED_SHARED = 20, 6
 #: Matching coordinates of a retained pair: at a similarity of 0.8 fewer do once in 10^6.
 MATCHES = 36
-BLOCK = 1024
-#: Longer lists send each class's best matches first.
-DEBUG = False
-WIDE = 64
-BEST = 4
+#: Classes and shingles of a block; lists of more classes than WIDE are wide.
+BLOCK, BLOCK_SHINGLES, WIDE = 1024, 1 << 20, 64
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLY = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * K.U(2) + K.U(1)
@@ -91,132 +88,162 @@ def pairs_in(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def compare(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, coordinate: np.ndarray, other: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, coordinate: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Of the pairs, those retained: sizes allow the threshold, this list is the first that both are
-    posted in, and enough coordinates match. With ``other``, only those in different components."""
+    posted in, and enough coordinates match."""
     n, sig, posted = rows["n"], rows["sig"], rows["posted"]
     ok = np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-9
-    if other:
-        ok &= rows["label"][a] != rows["label"][b]
     a, b, coordinate = a[ok], b[ok], coordinate[ok]
-    keep_a, keep_b, keep_m = [], [], []
+    keep_a, keep_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     bits = (1 << np.arange(POSTED, dtype=np.int64))[None]
     for i in range(0, len(a), 1 << 15):
         x, y = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
         same = sig[x] == sig[y]
-        match = same.sum(1)
         both = (posted[x] & posted[y])[:, None] & bits
         first = (same[:, :POSTED] & (both != 0)).argmax(1) == coordinate[i : i + (1 << 15)]
-        good = first & (match >= MATCHES)
+        good = first & (same.sum(1) >= MATCHES)
         keep_a.append(x[good])
         keep_b.append(y[good])
-        keep_m.append(match[good])
-    return tuple(np.concatenate(v) if v else np.zeros(0, np.int64) for v in (keep_a, keep_b, keep_m))
-
-
-def best_of(a: np.ndarray, b: np.ndarray, match: np.ndarray, ids: np.ndarray, best: int) -> np.ndarray:
-    """Which pairs are among the ``best`` of either end; ties go to smaller ids."""
-    chosen = np.zeros(len(a), bool)
-    for one, two in ((a, b), (b, a)):
-        order = np.lexsort((ids[two], -match, one))
-        s = one[order]
-        new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
-        start = np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
-        chosen[order[np.arange(len(s)) - start < best]] = True
-    return chosen
-
-
-def merge_lists(cells: DataFrame, threshold: float, best: int) -> DataFrame:
-    """Retained (a, b) of cells (cell, side, id, n, sig, posted, coordinate, wide, label), which
-    come sorted by cell. ``wide``: a list of more than one block, or as long as one."""
+    return np.concatenate(keep_a), np.concatenate(keep_b)
+
+
+def by_cell(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Rows that come sorted by cell, as tables of whole cells of about ``most`` rows or one cell."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not len(b):
+            continue
+        cell = b.column("cell").to_numpy()
+        if size > most:
+            last = held[-1].column("cell")[len(held[-1]) - 1].as_py()
+            first = int(np.argmax(cell != last)) if (cell != last).any() else len(cell)
+            if first < len(cell):
+                yield pa.Table.from_batches([*held, b.slice(0, first)]).combine_chunks()
+                held, size, b = [], 0, b.slice(first)
+        held.append(b)
+        size += len(b)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def cells_of(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    return cut, np.diff(np.r_[cut, len(cell)])
+
+
+def merge_lists(cells: DataFrame, threshold: float) -> DataFrame:
+    """Of cells (cell, side, id, n, sig, posted, coordinate, wide), sorted by cell: the retained pairs
+    (a, b) of narrow lists; of wide ones (cell, a = id, b = side) of classes with a retained pair."""
 
     def flush(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        t = t.combine_chunks()
         get = lambda c: t[c].to_numpy()
-        rows = {c: get(c) for c in ("id", "n", "posted", "label")}
+        rows = {c: get(c) for c in ("id", "n", "posted")}
         rows["sig"] = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        cell, side, wide = get("cell"), get("side"), get("wide")
-        cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        sizes = np.diff(np.r_[cut, len(cell)])
-        coordinate = get("coordinate")
-        out = []
+        cell, side, coordinate = get("cell"), get("side"), get("coordinate")
+        wide = t["wide"].to_numpy()
+        cut, sizes = cells_of(cell)
         narrow = ~wide[cut]
         if narrow.any():
             index = np.concatenate([np.arange(c, c + s) for c, s in zip(cut[narrow], sizes[narrow], strict=True)])
-            # in turns, as many pairs at a time as a chunk of them allows
             own = sizes[narrow]
             weight = np.cumsum(own * (own - 1) // 2)
             at = np.cumsum(own) - own
             lo = 0
-            while lo < len(own):
+            while lo < len(own):  # as many lists at a time as a bound on their pairs allows
                 hi = max(lo + 1, int(np.searchsorted(weight, (weight[lo - 1] if lo else 0) + (1 << 18), "right")))
                 a, b = pairs_in(own[lo:hi])
                 a, b = index[at[lo] + a], index[at[lo] + b]
-                apart = (side[a] == 2) | (side[a] != side[b])
-                out.append((*compare(rows, a[apart], b[apart], coordinate[a[apart]], best == 0, threshold), False))
+                a, b = compare(rows, a, b, coordinate[a], threshold)
+                if len(a):
+                    x, y = rows["id"][a], rows["id"][b]
+                    yield pa.record_batch({"cell": pa.nulls(len(a), pa.int64()), "a": np.minimum(x, y), "b": np.maximum(x, y)})
                 lo = hi
         for c, s in zip(cut[~narrow], sizes[~narrow], strict=True):
             i = np.arange(c, c + s)
             x, y = (i, i) if side[c] == 2 else (i[side[i] == 0], i[side[i] == 1])
-            found = [(np.zeros(0, np.int64),) * 3]
-            for lo in range(0, len(x), 256):
-                a, b = np.repeat(x[lo : lo + 256], len(y)), np.tile(y, len(x[lo : lo + 256]))
+            live = np.zeros(len(cell), bool)
+            for lo in range(0, len(x), 64):
+                a, b = np.repeat(x[lo : lo + 64], len(y)), np.tile(y, len(x[lo : lo + 64]))
                 if side[c] == 2:
                     a, b = a[a < b], b[a < b]
-                found.append(compare(rows, a, b, coordinate[a], best == 0, threshold))
-            out.append((*(np.concatenate(v) for v in zip(*found, strict=True)), True))
-        for a, b, m, is_wide in out:
-            if is_wide and best and len(a):
-                ok = best_of(a, b, m, rows["id"], best)
-                a, b = a[ok], b[ok]
-            if len(a):
-                x, y = rows["id"][a], rows["id"][b]
-                yield pa.record_batch({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+                a, b = compare(rows, a, b, coordinate[a], threshold)
+                live[a] = live[b] = True
+            on = np.flatnonzero(live)
+            if len(on):
+                yield pa.record_batch({"cell": cell[on], "a": rows["id"][on], "b": side[on].astype(np.int64)})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for b in batches:
-            cell = b.column("cell").to_numpy()
-            cut = np.flatnonzero(cell[1:] != cell[:-1])
-            if held and len(cell) and held[-1].column("cell")[-1].as_py() != cell[0] and size > 1 << 13:
-                yield from flush(pa.Table.from_batches(held))
-                held, size = [], 0
-            if len(cut) and size + len(cell) > 1 << 13:
-                yield from flush(pa.Table.from_batches([*held, b.slice(0, int(cut[-1]) + 1)]))
-                held, size = [], 0
-                b = b.slice(int(cut[-1]) + 1)
-            held.append(b)
-            size += len(b)
-        if size:
-            yield from flush(pa.Table.from_batches(held))
+        for t in by_cell(batches, 1 << 13):
+            yield from flush(t)
+
+    return cells.mapInArrow(work, "cell long, a long, b long")
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products over the shingles that are in more than one set."""
+    size = np.array([len(s) for s in sets])
+    of = np.repeat(np.arange(len(sets)), size)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    useful = times > 1
+    place = np.cumsum(useful) - 1
+    on = useful[column]
+    of, column = of[on], place[column[on]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(useful.sum()), 2048):
+        i, j = np.searchsorted(column, (lo, lo + 2048))
+        m = np.zeros((len(sets), min(2048, int(useful.sum()) - lo)), np.float32)
+        m[of[i:j], column[i:j] - lo] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def link_cells(cells: DataFrame, threshold: float) -> DataFrame:
+    """Spanning links (a, b) of cells (cell, side, id, shingles), sorted by cell."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_cell(batches, 0):
+            cut, sizes = cells_of(t["cell"].to_numpy())
+            for c, s in zip(cut, sizes, strict=True):
+                part = t.slice(c, s)
+                ids = part["id"].to_numpy()
+                sets = [np.frombuffer(x, np.uint64) for x in part["shingles"].to_pylist()]
+                n = np.array([len(x) for x in sets])
+                both = shared_counts(sets)
+                linked = both >= threshold * (n[:, None] + n[None] - both) - 1e-9
+                label = np.arange(len(ids))
+                while True:  # least label over the links until none changes
+                    least = np.where(linked, label[None], len(ids)).min(1)
+                    least = np.minimum(label, least)
+                    least = least[least]
+                    if (least == label).all():
+                        break
+                    label = least
+                on = np.flatnonzero(label != np.arange(len(ids)))
+                x, y = ids[on], ids[label[on]]
+                if len(on):
+                    yield pa.record_batch({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return cells.mapInArrow(work, "a long, b long")
 
 
-def deal(lists: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def deal(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """Cells of the posting lists: lists of at most a block are one; of longer ones, every two of
     their blocks meet in a cell of their own."""
-    blocks = F.ceil(F.col("len") / BLOCK).cast("int")
-    rows = lists.join(classes.select("id", "n", "sig"), "id")
-    if labels is not None:
-        rows = rows.join(labels.select(F.col("node").alias("id"), F.col("component").alias("label")), "id", "left").withColumn("label", F.coalesce("label", F.col("id")))
-    else:
-        rows = rows.withColumn("label", F.col("id"))
-    rows = rows.withColumn("nb", blocks).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("nb")).cast("int"))
+    blocks = F.greatest(F.ceil(F.col("len") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES))
+    rows = lists.join(classes.select("id", "sig"), "id").withColumn("wide", F.col("len") > WIDE)
+    rows = rows.withColumn("nb", F.when(F.col("wide"), blocks).otherwise(1).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("nb")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     lo, hi = F.least("own", "with"), F.greatest("own", "with")
-    return rows.select(
-        F.xxhash64("key", lo, hi).alias("cell"),
-        F.when(lo == hi, 2).when(F.col("own") == lo, 0).otherwise(1).alias("side"),
-        "id", "n", "sig", "posted", "coordinate", (F.col("len") > WIDE).alias("wide"), "label",
-    )
+    return rows.select(F.xxhash64("key", lo, hi).alias("cell"), F.when(lo == hi, 2).when(F.col("own") == lo, 0).otherwise(1).alias("side"), "id", "n", "sig", "posted", "coordinate", "wide")
 
 
-def member_sets(docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, shingles) of the classes in ``pairs``, bucketed by id; one text of each is read again."""
+def member_sets(docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of the classes in ``ids``, bucketed by id; one text of each is read again."""
     spark = docs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     who = stage(classes.select("id", "rep", "k1", "k2").join(ids, "id", "left_semi"), "members")
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("rep"), F.col(f"`{text}`").alias("x")).join(who, "rep")
 
@@ -272,32 +299,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     value = lambda c: F.conv(F.hex(F.substring("sig", 4 * c + 1, 4)), 16, 10).cast("bigint")
-    posting = classes.select("id", F.posexplode(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
-    posting = posting.select("id", "coordinate", (F.col("value") * POSTED + F.col("coordinate")).alias("key"))
-    lists = posting.groupBy("key").agg(F.count("*").alias("len")).where("len > 1")
-    met = posting.join(lists, "key")
-    # a class's prefix: all posted coordinates but those of its longest lists. Lists of one count too
-    drop = POSTED_SHARED - 1
-    spare = F.struct(F.col("len"), F.col("key"), F.col("coordinate"))
-    own = met.groupBy("id").agg(F.array_sort(F.collect_list(spare)).alias("met"))
-    own = own.withColumn("met", F.slice("met", F.lit(1), F.greatest(F.size("met") - drop, F.lit(0))))
-    own = own.withColumn("posted", F.aggregate("met", F.lit(0).cast("bigint"), lambda acc, m: acc + F.pow(F.lit(2.0), m["coordinate"]).cast("bigint")))
-    prefix = stage(own.select("id", "posted", F.inline("met")), "postings")
-    again = prefix.groupBy("key").agg(F.count("*").alias("posted_len")).where("posted_len > 1")
-    lists = stage(prefix.drop("len").join(again, "key").withColumnRenamed("posted_len", "len"), "lists")
-
-    links = labels = sets = None
-    for best in (BEST, 0):
-        prepare(spark, 4000)
-        cells = deal(lists if best else lists.where(F.col("len") > WIDE), classes, labels)
-        cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell")
-        pairs = stage(merge_lists(cells, threshold, best).distinct(), "pairs")
-        if DEBUG: print("round", best, "pairs", pairs.count(), "cells", cells.count())
-        # whoever has a retained pair has a best one, so the first round knows all members
-        sets = member_sets(docs, key, text, k, classes, pairs) if sets is None else sets
-        found = stage(confirm(pairs, sets, threshold), "links")
-        links = found if links is None else links.unionAll(found)
-        labels = components(links, "a", "b")
+    posting = classes.select("id", "n", F.posexplode(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
+    posting = posting.select("id", "n", "coordinate", (F.col("value") * POSTED + F.col("coordinate")).alias("key"))
+    lists = stage(posting.groupBy("key").agg(F.count("*").alias("len")).where("len > 1"), "lengths")
+    # a class's prefix: its posted coordinates but those of its longest lists, as few as linked
+    # classes share at least, less one. Lists of one class are no loss and not counted
+    met = posting.join(lists, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("len", "key", "coordinate"))).alias("met"))
+    met = met.withColumn("met", F.slice("met", F.lit(1), F.greatest(F.size("met") - (POSTED_SHARED - 1), F.lit(0))))
+    met = met.withColumn("posted", F.aggregate("met", F.lit(0).cast("bigint"), lambda acc, m: acc + F.pow(F.lit(2.0), m["coordinate"]).cast("bigint")))
+    prefix = stage(met.select("id", "n", "posted", F.inline("met")).drop("len"), "postings")
+    lengths = stage(prefix.groupBy("key").agg(F.count("*").alias("len"), F.sum("n").alias("weight")).where("len > 1"), "lengths")
+
+    prepare(spark, 4000)
+    cells = deal(prefix.join(lengths, "key"), classes).repartition(F.col("cell")).sortWithinPartitions("cell")
+    merged = stage(merge_lists(cells, threshold), "merged")
+    pairs = merged.where("cell IS NULL").select("a", "b")
+    wide = merged.where("cell IS NOT NULL").select("cell", F.col("a").alias("id"), F.col("b").alias("side"))
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(wide.select("id")).distinct()
+    sets = member_sets(docs, key, text, k, classes, ids)
+    links = confirm(pairs, sets, threshold)
+    dealt = wide.join(sets, "id").repartition(F.col("cell")).sortWithinPartitions("cell")
+    links = stage(links.unionAll(link_cells(dealt, threshold)), "links")
+    labels = components(links, "a", "b")
     reps = classes.select(F.col("id").alias("node"), "rep").join(labels, "node")
     least = reps.groupBy("component").agg(F.min("rep").alias("least"))
     named = reps.join(least, "component").select(F.col("node").alias("id"), "least")
