@@ -133,22 +133,26 @@ def window_min(key: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[: n - w + 1], left[w - 1 : n])
 
 
-def anchors(c: np.ndarray, off: np.ndarray, powers: Powers, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Winnowing: positions and hashes of the k-grams that are the least of some window.
+def anchors(c: np.ndarray, off: np.ndarray, powers: Powers, window: int, k: int) -> tuple[np.ndarray, ...]:
+    """Winnowing: the k-gram that is the least of each window, and which windows choose it.
 
-    ``c`` is the prefix sum over a slice of symbols, ``off`` the documents' offsets in it. Every
-    window of ``window`` symbols inside one document holds one at least, chosen by the window's own
-    symbols alone (the leftmost least), so equal windows have the same anchors. Third: documents.
+    ``c`` is the prefix sum over a slice of symbols, ``off`` the documents' offsets in it. A window of
+    ``window`` symbols inside one document chooses the leftmost least of its k-grams by hash, so equal
+    windows choose the same at the same place. Windows that choose one follow one another. Returns
+    the positions and hashes of the chosen, the first and the last window's start, and the document.
     """
     n = len(c) - 1
+    none = np.zeros(0, np.int64)
     if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none, none
     start = np.arange(n - k + 1)
     h = span_hash(c, start, start + k, powers)
     bits = U(max(1, int(n).bit_length()))
     least = window_min((h >> bits << bits) | start.astype(np.uint64), window - k + 1)
-    doc = np.searchsorted(off, np.arange(len(least)), "right") - 1 if len(off) > 2 else np.zeros(len(least), np.int64)
-    inside = np.arange(len(least)) + window <= off[doc + 1]
-    at = least[inside] & ((U(1) << bits) - U(1))
-    pos = np.unique(at).astype(np.int64)
-    return pos, h[pos], np.searchsorted(off, pos, "right") - 1
+    at = (least & ((U(1) << bits) - U(1))).astype(np.int64)
+    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(at)]
+    inside = np.flatnonzero(np.arange(len(at)) + window <= off[doc + 1])
+    at = at[inside]
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else none
+    pos = at[new]
+    return pos, h[pos], inside[new], inside[np.append(new[1:], len(at)) - 1], doc[inside[new]]

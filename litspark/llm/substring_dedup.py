@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import stage, text_hash
-from .windows import LEAST_ID, candidates, covered, distinct_texts, gather, setup, window_rows, word_symbols
+from .windows import LEAST_ID, candidates, covered, distinct_texts, gather, runs, setup, window_rows, word_symbols
 
 WINDOW, GRAM = 50, 12
 
@@ -31,9 +31,9 @@ def verdicts(texts: DataFrame, window: int, gram: int) -> DataFrame:
     places, variants = candidates(texts, word_symbols, window, gram, across=True)
     variants = stage(variants, "edges")
     branching = variants.where("nv > 1")
-    rows = stage(window_rows(texts, branching, word_symbols, window, gram), "windows")
+    rows = stage(window_rows(texts, branching, word_symbols, window), "windows")
     least = rows.groupBy("h", "o", "w").agg(F.min("m").alias("g"), F.max("m").alias("most")).where("g < most").select("h", "o", "w", "g")
-    lower = rows.join(stage(least, "least"), ["h", "o", "w"]).where("g < m").groupBy("h", "seg").agg(F.collect_list(F.struct("o", "g")).alias("some"))
+    lower = rows.join(stage(least, "least"), ["h", "o", "w"]).where("g < m").groupBy("h", "seg").agg(runs().alias("some"))
     out = variants.select("h", "seg", F.col("m").alias("g")).join(stage(lower, "lower"), ["h", "seg"], "left")
     return gather(places, stage(out, "verdicts"))
 
@@ -49,10 +49,10 @@ def kept_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, wo: np.nda
 
 RESULT = "th binary, m long, kept_text string, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:bigint,length:bigint>>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-NO_MARKS = "array<struct<pos:int,g:bigint,some:array<struct<o:int,g:bigint>>>>"
+NO_MARKS = "array<struct<pos:int,far:int,near:int,g:bigint,some:array<struct<lo:int,hi:int,g:bigint>>>>"
 
 
-def cut(rows: DataFrame, window: int, gram: int, keep_text: bool) -> DataFrame:
+def cut(rows: DataFrame, window: int, keep_text: bool) -> DataFrame:
     """Results for rows (th, m, x, at)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +64,7 @@ def cut(rows: DataFrame, window: int, gram: int, keep_text: bool) -> DataFrame:
                 for d in range(j - i):
                     at = b.column("at")[i + d]
                     if at.is_valid and len(at.values):
-                        kept[wo[d] : wo[d + 1]] = ~covered(at.values, int(wo[d + 1] - wo[d]), window, gram, b.column("m")[i + d].as_py())
+                        kept[wo[d] : wo[d + 1]] = ~covered(at.values, int(wo[d + 1] - wo[d]), window, b.column("m")[i + d].as_py())
                 out, oo = kept_bytes(buf, starts, ends, wo, kept)
                 for d in range(j - i):
                     gone = ~kept[wo[d] : wo[d + 1]]
@@ -99,7 +99,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     keyed = own.where("key IS NOT NULL")
     texts = distinct_texts(keyed, "key", "x")
     marks = verdicts(texts, window, gram)
-    found = stage(cut(texts.join(marks, "k", "left").select("th", "m", "x", "at"), window, gram, keep_text), "results")
+    found = stage(cut(texts.join(marks, "k", "left").select("th", "m", "x", "at"), window, keep_text), "results")
     rows = keyed.select("key", text_hash("x").alias("th")).join(found, "th")
     whole = (F.col("key") > F.col("m")) & (F.col("n_words") >= window)
     all_words = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("length")))
@@ -112,5 +112,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         F.when(whole, all_words).otherwise(F.col("spans")).alias("spans"),
     )
     free = own.where("key IS NULL").select(F.lit(b"").alias("th"), F.lit(LEAST_ID).alias("m"), F.coalesce("x", F.lit("")).alias("x"), F.lit(None).cast(NO_MARKS).alias("at"))
-    free = cut(free, window, gram, keep_text).select(F.lit(None).cast("bigint").alias(key), "kept_text", "n_words", "n_removed", "kept_sha256", "spans")
+    free = cut(free, window, keep_text).select(F.lit(None).cast("bigint").alias(key), "kept_text", "n_words", "n_removed", "kept_sha256", "spans")
     return rows.unionByName(free)

@@ -2,9 +2,10 @@
 
 Suffixes are classed as smaller (S) or larger (L) than the next one. The substrings between leftmost
 S positions are sorted by an induction, named, and sorted as suffixes by recursion on the names; a
-second induction then gives the whole array in linear time. On byte texts, a bucket's entries are
-induced from in chunks of array operations: all that the chunk before has added. Names come from
-too many letters for that, so the recursion walks them one by one.
+second induction then gives the whole array. On byte texts, a bucket's entries are induced from in
+chunks of array operations: all that the chunk before has added. Names are of too many letters to
+walk their buckets, so in the recursion a suffix takes its place by the run of symbols up to the
+next suffix of the other class and that one's rank, which the induction would have carried to it.
 """
 
 from __future__ import annotations
@@ -93,63 +94,70 @@ def names_of(s: np.ndarray, is_s: np.ndarray, order: np.ndarray, lms: np.ndarray
     return rank[lms]
 
 
-def by_hand(s: list[int], letters: int) -> list[int]:
-    """The same construction, symbol by symbol, for texts over many letters. Ends in a sentinel 0."""
+def refine(c: np.ndarray, start: np.ndarray, stop: np.ndarray, tail: np.ndarray | None) -> np.ndarray:
+    """Ranks of the sequences c[start] to c[stop], then tail[stop]; equal ones share the lowest."""
+    rank = np.zeros(len(start), np.int64)
+    live = np.arange(len(start))
+    more = 0 if tail is None else 1
+    bits = int(max(c.max(), 0 if tail is None else tail.max() + 1)).bit_length()
+
+    def symbol(t: int) -> np.ndarray:
+        p, end = start[live] + t, stop[live]
+        x = np.where(p <= end, c[np.minimum(p, end)], 0)
+        return x if tail is None else np.where(p == end + 1, tail[end] + 1, x)
+
+    t = 0
+    while len(live):
+        x, y = symbol(t), symbol(t + 1)
+        if int(rank.max()).bit_length() + 2 * bits < 63:
+            order = np.argsort((rank[live] << (2 * bits)) | (x << bits) | y)
+        else:
+            order = np.lexsort((y, x, rank[live]))
+        live, x, y = live[order], x[order], y[order]
+        old = rank[live]
+        group = np.r_[True, old[1:] != old[:-1]]
+        run = group | np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+        place = np.arange(len(live))
+        first, head = np.maximum.accumulate(np.where(group, place, 0)), np.maximum.accumulate(np.where(run, place, 0))
+        rank[live] = old + head - first
+        tied = ~(run & np.r_[run[1:], True])
+        t += 2
+        live = live[tied]
+        live = live[start[live] + t <= stop[live] + more]
+    return rank
+
+
+def next_of(where: np.ndarray, n: int) -> np.ndarray:
+    """For each position, the first marked one behind it (n - 1 if there is none)."""
+    at = np.where(where, np.arange(n), n - 1)
+    at = np.minimum.accumulate(at[::-1])[::-1]
+    return np.append(at[1:], n - 1)
+
+
+def by_ranks(s: np.ndarray) -> np.ndarray:
+    """The same construction for a text over many letters that ends in its one least symbol."""
     n = len(s)
-    if n == 1:
-        return [0]
-    is_s = [False] * n
+    order = np.argsort(s, kind="stable")
+    if (np.diff(s[order]) > 0).all():
+        return order
+    is_s = classify(s)
     is_s[-1] = True
-    for i in range(n - 2, -1, -1):
-        is_s[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and is_s[i + 1])
-    lms = [i for i in range(1, n) if is_s[i] and not is_s[i - 1]]
-    size = [0] * letters
-    for c in s:
-        size[c] += 1
-    starts, at = [0] * letters, 0
-    for c in range(letters):
-        starts[c] = at
-        at += size[c]
-    ends = [a + b for a, b in zip(starts, size, strict=True)]
-
-    def induced(first: list[int]) -> list[int]:
-        sa = [-1] * n
-        tail = ends[:]
-        for i in reversed(first):
-            c = s[i]
-            tail[c] -= 1
-            sa[tail[c]] = i
-        head = starts[:]
-        for i in sa:  # grows as it is walked
-            if i > 0 and not is_s[i - 1]:
-                c = s[i - 1]
-                sa[head[c]] = i - 1
-                head[c] += 1
-        tail = ends[:]
-        for at in range(n - 1, -1, -1):
-            i = sa[at]
-            if i > 0 and is_s[i - 1]:
-                c = s[i - 1]
-                tail[c] -= 1
-                sa[tail[c]] = i - 1
-        return sa
-
-    stops = dict(zip(lms, [*lms[1:], n - 1], strict=True))
-    marked = [i for i in induced(lms) if i in stops]
-    name, last, named = -1, None, {}
-    for i in marked:
-        own = (s[i : stops[i] + 1], is_s[i : stops[i] + 1])
-        if own != last:
-            name, last = name + 1, own
-        named[i] = name
-    reduced = [named[i] for i in lms]
-    if name + 1 == len(lms):
-        order = [0] * len(lms)
-        for i, r in enumerate(reduced):
-            order[r] = i
+    first = np.r_[False, is_s[1:] & ~is_s[:-1]]
+    lms = np.flatnonzero(first)
+    c = 2 * s + is_s + 1
+    after = next_of(first, n)
+    named = refine(c, lms, after[lms], None)
+    _, names = np.unique(named, return_inverse=True)
+    rank = np.zeros(n, np.int64)
+    if names.max() + 1 == len(lms):
+        rank[lms] = names
     else:
-        order = by_hand(reduced, name + 1)
-    return induced([lms[i] for i in order])
+        rank[lms[by_ranks(names)]] = np.arange(len(lms))
+    larger = np.flatnonzero(~is_s)
+    rank[larger] = refine(c, larger, after[larger], rank)
+    smaller = np.flatnonzero(is_s)
+    rank[smaller] = refine(c, smaller, next_of(~is_s, n)[smaller], np.where(is_s, 0, rank))
+    return np.lexsort((rank, c))
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -173,7 +181,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         order = np.empty(len(lms), np.int64)
         order[names] = np.arange(len(lms))
     else:
-        order = np.array(by_hand(names.tolist(), letters), np.int64)
+        order = by_ranks(names)
     return induce(s, is_s, lms[order], starts, ends)[1:]
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import stage, text_hash
 from .suffix_array import permuted_prefixes, suffix_array
-from .windows import bundles, byte_symbols, candidates, covered, distinct_texts, gather, setup, spots_of, window_rows
+from .windows import bundles, byte_symbols, candidates, covered, distinct_texts, gather, runs, setup, spots_of, window_rows
 
 WINDOW, GRAM = 200, 40
 #: Bytes of a shard's text, and bundles of an anchor, beyond which its strings are counted instead.
@@ -29,15 +29,15 @@ SHARD, MOST_BUNDLES = 1 << 20, 2048
 BREAK = 0xFF
 
 
-def bundle_bytes(texts: DataFrame, variants: DataFrame, window: int, gram: int) -> DataFrame:
-    """(h, seg, n, lead, body): the bytes around the anchor, ``lead`` of them before it."""
+def bundle_bytes(texts: DataFrame, variants: DataFrame, window: int) -> DataFrame:
+    """(h, seg, n, lead, body): the bytes of each bundle, ``lead`` of them before its anchor."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, off in K.text_slices(b.column("x")):
                 doc, at = spots_of(b.column("at"), i, j)
                 pos = at["pos"] + off[doc]
-                lo, hi = np.maximum(off[doc], pos - (window - gram)), np.minimum(off[doc + 1], pos + window)
+                lo, hi = pos - at["far"], pos - at["near"] + window
                 body = pa.array([buf[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(pa.array(at[c]) for c in ("h", "seg", "n")), pa.array((pos - lo).astype(np.int32)), body], ["h", "seg", "n", "lead", "body"])
 
@@ -71,8 +71,11 @@ def shard_verdicts(rows: DataFrame, window: int) -> DataFrame:
         bundle, o = repeated_in(h, n, lead, t["body"].to_pylist(), window)
         order = np.lexsort((o, bundle))
         bundle, o = bundle[order], o[order]
-        cut = np.searchsorted(bundle, np.arange(len(h) + 1)).astype(np.int32)
-        some = pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([pa.array(o.astype(np.int32)), pa.array(np.zeros(len(o), np.int64))], ["o", "g"]))
+        new = np.flatnonzero(np.r_[True, (bundle[1:] != bundle[:-1]) | (o[1:] != o[:-1] + 1)]) if len(o) else np.zeros(0, np.int64)
+        last = np.append(new[1:], len(o)) - 1 if len(o) else new
+        cut = np.searchsorted(bundle[new], np.arange(len(h) + 1)).astype(np.int32)
+        edges = [pa.array(o[new].astype(np.int32)), pa.array(o[last].astype(np.int32)), pa.array(np.zeros(len(new), np.int64))]
+        some = pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays(edges, ["lo", "hi", "g"]))
         return pa.RecordBatch.from_arrays([pa.array(h), pa.array(seg), some], ["h", "seg", "some"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +95,7 @@ def shard_verdicts(rows: DataFrame, window: int) -> DataFrame:
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(work, "h long, seg long, some array<struct<o:int,g:bigint>>")
+    return rows.mapInArrow(work, "h long, seg long, some array<struct<lo:int,hi:int,g:bigint>>")
 
 
 def verdicts(texts: DataFrame, window: int, gram: int) -> DataFrame:
@@ -101,19 +104,19 @@ def verdicts(texts: DataFrame, window: int, gram: int) -> DataFrame:
     variants = stage(variants, "bundles")
     few = variants.where((F.col("nv") > 1) & (F.col("nv") <= MOST_BUNDLES))
     many = variants.where(F.col("nv") > MOST_BUNDLES)
-    dealt = bundle_bytes(texts, few, window, gram).repartition(F.col("h")).sortWithinPartitions("h")
+    dealt = bundle_bytes(texts, few, window).repartition(F.col("h")).sortWithinPartitions("h")
     some = shard_verdicts(dealt, window).where(F.size("some") > 0)
     if many.limit(1).count():
-        rows = stage(window_rows(texts, many, byte_symbols, window, gram), "strings")
+        rows = stage(window_rows(texts, many, byte_symbols, window), "strings")
         again = rows.groupBy("h", "o", "w").agg(F.sum("n").alias("c")).where("c > 1").select("h", "o", "w")
-        counted = rows.join(stage(again, "again"), ["h", "o", "w"], "left_semi").groupBy("h", "seg")
-        some = some.unionByName(counted.agg(F.collect_list(F.struct("o", F.lit(0).cast("bigint").alias("g"))).alias("some")))
+        counted = rows.join(stage(again, "again"), ["h", "o", "w"], "left_semi").withColumn("g", F.lit(0).cast("bigint")).groupBy("h", "seg")
+        some = some.unionByName(counted.agg(runs().alias("some")))
     g = F.when((F.col("nv") == 1) | (F.col("n") > 1), 0).otherwise(2).cast("bigint")
     out = variants.select("h", "seg", g.alias("g")).join(stage(some, "some"), ["h", "seg"], "left").where("g = 0 OR some IS NOT NULL")
     return gather(places, stage(out, "verdicts"))
 
 
-def cut(rows: DataFrame, window: int, gram: int, keep_bytes: bool) -> DataFrame:
+def cut(rows: DataFrame, window: int, keep_bytes: bool) -> DataFrame:
     """Results for rows (th, n, x, at); a text that occurs n > 1 times goes whole, if long enough."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +128,7 @@ def cut(rows: DataFrame, window: int, gram: int, keep_bytes: bool) -> DataFrame:
                     if b.column("n")[i + d].as_py() > 1 and len(own) >= window:
                         gone = np.ones(len(own), bool)
                     else:
-                        gone = covered(at.values if at.is_valid else None, len(own), window, gram, 1)
+                        gone = covered(at.values if at.is_valid else None, len(own), window, 1)
                     edge = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8))) if gone.any() else np.zeros(0, int)
                     body = own[~gone].tobytes() if len(edge) else own.tobytes()
                     spans = [{"start": int(x), "length": int(y - x)} for x, y in zip(edge[::2], edge[1::2], strict=True)]
@@ -152,5 +155,5 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     numbered = own.select(F.lit(0).cast("bigint").alias("key"), "x") if "int" not in own.schema["key"].dataType.simpleString() else own
     texts = distinct_texts(numbered, "key", "x")
     marks = verdicts(texts, window, gram)
-    found = stage(cut(texts.join(marks, "k", "left").select("th", "n", "x", "at"), window, gram, keep_bytes), "results")
+    found = stage(cut(texts.join(marks, "k", "left").select("th", "n", "x", "at"), window, keep_bytes), "results")
     return own.select(F.col("key").alias(key), text_hash("x").alias("th")).join(found, "th").drop("th")

@@ -1,10 +1,10 @@
 """Repeated windows of a corpus, exactly, from winnowed anchors.
 
-Every window of W symbols holds an anchor, a k-gram that the window's own symbols select, so all
-places where a window occurs have the same anchor at the same offset. Anchors that occur once
-are dropped. Around an anchor's other places, the W - k symbols to either side (its bundle) hold all
-windows with that anchor. Equal bundles are one variant; an anchor with one variant needs no
-further look, and only variants of the others are read from the texts again.
+Every window of W symbols chooses an anchor, a k-gram of it, by its own symbols alone, so all places
+where a window occurs have the same anchor at the same offset. Anchors that occur once are
+dropped. The neighbouring windows that choose an anchor at a place make up its bundle. Equal bundles
+are one variant; an anchor with one variant needs no further look, and only variants of the
+others are read from the texts again.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -50,28 +50,29 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def anchor_rows(texts: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
-    """(h, seg, k, m, pos): every anchor, and the hash of its bundle."""
-    reach = window - gram
+    """(h, seg, k, m, pos, far, near): every anchor with the hash of its bundle, whose windows start
+    ``far`` to ``near`` symbols before it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, _, buf, off in K.text_slices(b.column("x")):
                 c, so, powers = symbols(buf, off)
-                pos, h, doc = K.anchors(c, so, powers, window, gram)
+                pos, h, lo, hi, doc = K.anchors(c, so, powers, window, gram)
                 if not len(pos):
                     continue
-                lo, hi = np.maximum(so[doc], pos - reach), np.minimum(so[doc + 1], pos + window)
-                seg = K.mix(K.span_hash(c, lo, hi, powers) + (pos - lo).astype(np.uint64) * K.U(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64))
+                far, near = pos - lo, pos - hi
+                seg = K.mix(K.span_hash(c, lo, hi + window, powers) + far.astype(np.uint64) * K.U(0x9E3779B97F4A7C15) + near.astype(np.uint64))
                 row = pa.array(i + doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), b.column("k").take(row), b.column("m").take(row), pa.array((pos - so[doc]).astype(np.int32))], ["h", "seg", "k", "m", "pos"]
+                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), b.column("k").take(row), b.column("m").take(row), *(pa.array(x.astype(np.int32)) for x in (pos - so[doc], far, near))],
+                    ["h", "seg", "k", "m", "pos", "far", "near"],
                 )
 
-    return texts.mapInArrow(work, "h long, seg long, k long, m long, pos int")
+    return texts.mapInArrow(work, "h long, seg long, k long, m long, pos int, far int, near int")
 
 
 def candidates(texts: DataFrame, symbols: Symbols, window: int, gram: int, across: bool) -> tuple[DataFrame, DataFrame]:
-    """Places (h, seg, k, m, pos) of anchors that recur, and their variants (h, seg, n, m, at, nv).
+    """Places (h, seg, k, m, pos, far, near) of anchors that recur, and their variants (h, seg, n, m, at, nv).
 
     With ``across``, anchors must recur in texts of different m.
     """
@@ -82,15 +83,15 @@ def candidates(texts: DataFrame, symbols: Symbols, window: int, gram: int, acros
         again = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     found = stage(places.join(stage(again, "recurring"), "h", "left_semi"), "places")
     release(places.sparkSession)
-    variants = stage(found.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("m").alias("m"), F.min(F.struct("k", "pos")).alias("at")), "variants")
+    variants = stage(found.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("m").alias("m"), F.min(F.struct("k", "pos", "far", "near")).alias("at")), "variants")
     sizes = stage(variants.groupBy("h").agg(F.count("*").alias("nv")), "sizes")
     return found, variants.join(sizes, "h")
 
 
 def bundles(texts: DataFrame, variants: DataFrame, work) -> DataFrame:
     """``work`` over the texts that variants were first found in: rows (x, at), ``at`` the list of
-    (pos, h, seg, n, m)."""
-    spots = variants.select(F.col("at.k").alias("k"), F.struct(F.col("at.pos").alias("pos"), "h", "seg", "n", "m").alias("at")).groupBy("k").agg(F.collect_list("at").alias("at"))
+    (pos, far, near, h, seg, n, m)."""
+    spots = variants.select(F.col("at.k").alias("k"), F.struct("at.pos", "at.far", "at.near", "h", "seg", "n", "m").alias("at")).groupBy("k").agg(F.collect_list("at").alias("at"))
     return texts.select("k", "x").join(spots, "k").select("x", "at").mapInArrow(*work)
 
 
@@ -102,9 +103,8 @@ def spots_of(column: pa.Array, i: int, j: int) -> tuple[np.ndarray, dict[str, np
     return np.repeat(np.arange(j - i), size), {f.name: flat.field(f.name).to_numpy() for f in flat.type}
 
 
-def window_rows(texts: DataFrame, variants: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
+def window_rows(texts: DataFrame, variants: DataFrame, symbols: Symbols, window: int) -> DataFrame:
     """(h, seg, o, w, n, m): each window of each variant, by hash; it starts o before the anchor."""
-    reach = window - gram
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -112,44 +112,59 @@ def window_rows(texts: DataFrame, variants: DataFrame, symbols: Symbols, window:
                 c, so, powers = symbols(buf, off)
                 doc, at = spots_of(b.column("at"), i, j)
                 pos = at["pos"] + so[doc]
-                for lo in range(0, len(pos), 1 << 12):
-                    p, d = pos[lo : lo + (1 << 12)], doc[lo : lo + (1 << 12)]
-                    start = p[:, None] - np.arange(reach + 1)[None]
-                    r, o = np.nonzero((start >= so[d][:, None]) & (start + window <= so[d + 1][:, None]))
-                    s = start[r, o]
+                for lo in range(0, len(pos), 1 << 11):
+                    far, near = (at[x][lo : lo + (1 << 11)].astype(np.int64) for x in ("far", "near"))
+                    each = far - near + 1
+                    r = lo + np.repeat(np.arange(len(each)), each)
+                    o = np.repeat(far, each) - (np.arange(len(r)) - np.repeat(np.cumsum(each) - each, each))
+                    s = pos[r] - o
                     w = K.span_hash(c, s, s + window, powers)
-                    yield pa.record_batch({x: at[x][lo + r] for x in ("h", "seg")} | {"o": o.astype(np.int32), "w": w.view(np.int64)} | {x: at[x][lo + r] for x in ("n", "m")})
+                    yield pa.record_batch({x: at[x][r] for x in ("h", "seg")} | {"o": o.astype(np.int32), "w": w.view(np.int64)} | {x: at[x][r] for x in ("n", "m")})
 
     return bundles(texts, variants, (work, "h long, seg long, o int, w long, n long, m long"))
 
 
+def runs(o: str = "o", g: str = "g") -> Column:
+    """An aggregate: the windows' (o, g) as runs (lo, hi, g) of neighbours with one g."""
+    rows = F.array_sort(F.collect_list(F.struct(o, g)))
+
+    def edge(other: int) -> Callable[[Column], Column]:
+        def of(x: Column) -> Column:
+            first = F.filter(x, lambda e, i: F.coalesce(F.get(x, i + other)["o"] != e["o"] + other, F.lit(True)) | F.coalesce(F.get(x, i + other)["g"] != e["g"], F.lit(True)))
+            return first
+
+        return of
+
+    ends = F.arrays_zip(edge(-1)(rows).alias("a"), edge(1)(rows).alias("b"))
+    return F.transform(ends, lambda e: F.struct(e["a"]["o"].alias("lo"), e["b"]["o"].alias("hi"), e["a"]["g"].alias("g")))
+
+
 def gather(places: DataFrame, verdicts: DataFrame) -> DataFrame:
     """(k, at): a text's places with the verdict on each; a verdict is (h, seg, g, some)."""
     met = places.join(verdicts, ["h", "seg"])
-    return stage(met.groupBy("k").agg(F.collect_list(F.struct("pos", "g", "some")).alias("at")), "marks")
+    return stage(met.groupBy("k").agg(F.collect_list(F.struct("pos", "far", "near", "g", "some")).alias("at")), "marks")
 
 
-def covered(marks: pa.StructArray | None, n: int, window: int, gram: int, m: int) -> np.ndarray:
+def covered(marks: pa.StructArray | None, n: int, window: int, m: int) -> np.ndarray:
     """Which of a text's n symbols lie in a window known to start in a text of a key below m.
 
-    A mark holds for all windows with the anchor at ``pos`` if its ``g`` is below m, and for those
-    that start o before it if their own g is.
+    A mark holds for the whole bundle of the anchor at ``pos`` if its ``g`` is below m, and for the runs
+    of windows in ``some`` whose own g is.
     """
     change = np.zeros(n + 1, np.int64)
     if marks is None or not len(marks) or n < window:
         return np.zeros(n, bool)
-    pos, g = marks.field("pos").to_numpy(zero_copy_only=False), marks.field("g").to_numpy(zero_copy_only=False)
-    whole = pos[g < m]
-    first, last = np.maximum(whole - (window - gram), 0), np.minimum(whole, n - window)
-    np.add.at(change, first, 1)
-    np.add.at(change, last + window, -1)
+    pos, far, near, g = (marks.field(x).to_numpy(zero_copy_only=False) for x in ("pos", "far", "near", "g"))
+    whole = g < m
+    np.add.at(change, (pos - far)[whole], 1)
+    np.add.at(change, (pos - near)[whole] + window, -1)
     some = marks.field("some").fill_null([])
-    if len(some.flatten()):
+    flat = some.flatten()
+    if len(flat):
         at = np.repeat(pos, pa.compute.list_value_length(some).to_numpy())
-        flat = some.flatten()
-        start = (at - flat.field("o").to_numpy())[flat.field("g").to_numpy() < m]
-        np.add.at(change, start, 1)
-        np.add.at(change, start + window, -1)
+        on = flat.field("g").to_numpy() < m
+        np.add.at(change, (at - flat.field("hi").to_numpy())[on], 1)
+        np.add.at(change, (at - flat.field("lo").to_numpy())[on] + window, -1)
     return np.cumsum(change)[:n] > 0
 
 
