@@ -21,6 +21,9 @@ def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Small Arrow batches, so that a worker's memory does not follow the longest documents; and
     this package for the executors' Python, wherever they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    # Spark's own Bloom filter before the shuffle, from smaller tables on; its size is bounded by
+    # spark.sql.optimizer.runtime.bloomFilter.maxNumBits, and without it the join does all the work
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB")
     sc = spark.sparkContext
     if not getattr(sc, "_litspark_sent", False):
         package = Path(__file__).resolve().parents[1]
@@ -59,6 +62,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def selective(df: DataFrame, key: str) -> DataFrame:
+    """Marks the few keys of a staged table as worth a runtime Bloom filter: Spark builds one only
+    from a side that has a comparison on it. This one is true of every bigint."""
+    return df.where(F.col(key) >= F.lit(-(2**63)))
+
+
 def unstage(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

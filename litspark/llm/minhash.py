@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import components, prepare, release, stage, stage_bucketed, unstage
+from .common import components, prepare, release, selective, stage, stage_bucketed
 
 COORDINATES = 64
 #: Posted coordinates, and how many of them two linked classes share at least: of 20 that agree with
@@ -245,7 +245,7 @@ def member_sets(docs: DataFrame, key: str, text: str, k: int, classes: DataFrame
     """(id, shingles) of the classes in ``ids``, bucketed by id; one text of each is read again."""
     spark = docs.sparkSession
     who = stage(classes.select("id", "rep", "k1", "k2").join(ids, "id", "left_semi"), "members")
-    rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("rep"), F.col(f"`{text}`").alias("x")).join(who, "rep")
+    rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("rep"), F.col(f"`{text}`").alias("x")).join(selective(who, "rep"), "rep")
 
     def own_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import prepare, release, stage, stage_bucketed, text_hash
+from .common import prepare, release, selective, stage, stage_bucketed, text_hash
 
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, K.Powers]]
 LEAST_ID = -(2**63)
@@ -81,7 +81,7 @@ def candidates(texts: DataFrame, symbols: Symbols, window: int, gram: int, acros
         again = places.groupBy("h").agg(F.min("m").alias("a"), F.max("m").alias("b")).where("a < b").select("h")
     else:
         again = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = stage(places.join(stage(again, "recurring"), "h", "left_semi"), "places")
+    found = stage(places.join(selective(stage(again, "recurring"), "h"), "h", "left_semi"), "places")
     release(places.sparkSession)
     variants = stage(found.groupBy("h", "seg").agg(F.count("*").alias("n"), F.min("m").alias("m"), F.min(F.struct("k", "pos", "far", "near")).alias("at")), "variants")
     sizes = stage(variants.groupBy("h").agg(F.count("*").alias("nv")), "sizes")
