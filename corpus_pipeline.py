@@ -3,15 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from litspark.llm.common import stage
+from litspark.llm.common import prepare, stage, table
+from litspark.llm.decontaminate import drop_contaminated
+from litspark.llm.line_dedup import dedup_lines
+from litspark.llm.minhash import drop_near_duplicates
+from litspark.llm.mixing import mix
+from litspark.llm.quality import fit_quality, score_quality
 
-STAGES: list = []
+#: Documents that score below this go.
+QUALITY = 0.5
+#: A line found in so many documents goes from all.
+LINE_DOCUMENTS = 10
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labelled rows, does not reject."""
+    prepare(spark)
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model, out="quality_score").where(F.col("quality_score") >= QUALITY).drop("quality_score")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that many share; ``n_chars`` follows the text."""
+    out = dedup_lines(docs, min_docs=LINE_DOCUMENTS).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, on five-word shingles at a similarity of 0.8."""
+    return drop_near_duplicates(docs, k=5, threshold=0.8)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without four fifths of any benchmark item's five-word shingles."""
+    prepare(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to source shares of n^0.5, in a global random order."""
+    return mix(docs, alpha=0.5, epoch=1.0, seed="mix")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+]
+
+#: The trees of the first stage are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "_"))
     return docs

@@ -106,8 +106,40 @@ def search(block: Block, h: np.ndarray, so: np.ndarray, near: np.ndarray, thresh
             yield int(d), int(item), shared
 
 
+def blocks(items: DataFrame, item_text: str, item_key: str | None, most: int) -> Iterator[tuple[list, list]]:
+    """Ids and texts of the items, at most ``most`` characters of text at a time (or one item). There
+    is one block at least."""
+    ids, texts, size = [], [], 0
+    key = F.lit(None).cast("string") if item_key is None else F.col(f"`{item_key}`")
+    for r in items.select(key.alias("i"), F.col(f"`{item_text}`").alias("x")).toLocalIterator():
+        if ids and size + len(r.x or "") > most:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(r.i)
+        texts.append(r.x)
+        size += len(r.x or "")
+    yield ids, texts
+
+
+def searcher(texts: list, k: int, threshold: float):
+    """A function from a text column to (row, item, item's shingles, shingles shared)."""
+    block = index(texts, k, threshold)
+    near = np.zeros(1 << max(16, min(24, 4 + len(block.sketch).bit_length())), bool)
+    near[(block.sketch & K.U(len(near) - 1)).astype(np.int64)] = True
+
+    def find(column: pa.Array) -> list[tuple[int, int, int, int]]:
+        found = []
+        for i, _, buf, off in K.text_slices(column):
+            starts, ends, wo = K.words(buf, off, K.NOT_ALNUM)
+            h, so = K.shingles(K.word_hashes(buf, starts, ends, fold=True), wo, k)
+            found += [(i + d, block.rows[item], len(block.sets[item]), s) for d, item, s in search(block, h, so, near, threshold)]
+        return found
+
+    return find
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id",
-                       k: int = SHINGLE, threshold: float = THRESHOLD, block_bytes: int = 8 << 20) -> DataFrame:
+                       k: int = SHINGLE, threshold: float = THRESHOLD, block_chars: int = 8 << 20) -> DataFrame:
     """A row (key, item_key, ``item_shingles``, ``shared``, ``containment``) for every document and
     item with at least ``threshold`` of the item's distinct k-word shingles in the document.
 
@@ -115,7 +147,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", ke
     of fewer than k words has its whole sequence as its one shingle; null and empty texts have none
     and match nothing. Rows are documents and items of their own, so repeated ones each match.
     Tables without rows give no rows. Other columns do not matter. Items stream to the driver in
-    blocks of at most ``block_bytes`` of text (a longer item is a block of its own); each block is
+    blocks of at most ``block_chars`` of text (a longer item is a block of its own); each block is
     one pass over the documents.
     """
     kinds = [docs.schema[key].dataType, items.schema[item_key].dataType]
@@ -123,18 +155,11 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", ke
     rows = docs.select(F.col(f"`{key}`").alias("d"), F.col(f"`{text}`").alias("x"))
 
     def one(ids: list, texts: list) -> DataFrame:
-        block = index(texts, k, threshold)
-        near = np.zeros(1 << max(16, min(24, 4 + len(block.sketch).bit_length())), bool)
-        near[(block.sketch & K.U(len(near) - 1)).astype(np.int64)] = True
+        find = searcher(texts, k, threshold)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = []
-                for i, _, buf, off in K.text_slices(b.column("x")):
-                    starts, ends, wo = K.words(buf, off, K.NOT_ALNUM)
-                    h, so = K.shingles(K.word_hashes(buf, starts, ends, fold=True), wo, k)
-                    found += [(i + d, block.rows[item], len(block.sets[item]), s) for d, item, s in search(block, h, so, near, threshold)]
-                if found:
+                if found := find(b.column("x")):
                     cols = list(zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([b.column("d").take(pa.array(cols[0])), *(pa.array(np.array(c, np.int64)) for c in cols[1:])], ["d", "i", "n", "s"])
 
@@ -143,11 +168,23 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", ke
             F.col("d").alias(key), F.col("id").alias(item_key), F.col("n").alias("item_shingles"), F.col("s").alias("shared"), (F.col("s") / F.col("n")).alias("containment")
         )
 
-    out, ids, texts, size = [], [], [], 0
-    for r in items.select(F.col(f"`{item_key}`").alias("i"), F.col(f"`{item_text}`").alias("x")).toLocalIterator():
-        if ids and size + len(r.x or "") > block_bytes:
-            out, ids, texts, size = [*out, one(ids, texts)], [], [], 0
-        ids.append(r.i)
-        texts.append(r.x)
-        size += len(r.x or "")
-    return union_all([*out, one(ids, texts)])
+    return union_all([one(*b) for b in blocks(items, item_text, item_key, block_chars)])
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", k: int = SHINGLE, threshold: float = THRESHOLD, block_chars: int = 8 << 20) -> DataFrame:
+    """``docs`` without the rows that :func:`find_contamination` finds; no shuffle, all columns stay."""
+    for _, texts in blocks(items, item_text, None, block_chars):
+        find = searcher(texts, k, threshold)
+
+        def work(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                clean = np.ones(len(b), bool)
+                clean[[f[0] for f in find(b.column("scanned_text"))]] = False
+                kept = b.filter(pa.array(clean))
+                yield kept.select(kept.schema.names[:-1])
+
+        names = [f"c{i}" for i in range(len(docs.columns))]
+        rows = docs.toDF(*names).withColumn("scanned_text", F.col(names[docs.columns.index(text)]))
+        schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema, strict=True)])
+        docs = rows.mapInArrow(work, schema).toDF(*docs.columns)
+    return docs

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import components, prepare, release, selective, stage, stage_bucketed
+from .common import components, lower_ascii, prepare, release, selective, stage, stage_bucketed
 
 COORDINATES = 64
 #: Posted coordinates, and how many of them two linked classes share at least: of 20 that agree with
@@ -329,3 +329,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     component = F.when(F.col("n") > 0, F.coalesce("least", "d")).otherwise(F.col("d"))
     component = F.when(F.col("d").isNotNull(), component)
     return out.select(F.col("d").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("d").eqNullSafe(component).alias("kept"), F.struct("k1", "k2", "n").alias("same_set"))
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each component of :func:`near_duplicates`: the one of the smallest
+    key. Of rows that repeat a key and, but for case and space, the text, one stays. All columns do."""
+    found = stage(near_duplicates(docs, key, text, k, threshold), "components")
+    gone = found.where(~F.col("kept")).select(key).distinct()
+    kept = docs.join(stage(gone, "gone"), key, "left_anti")
+    twice = found.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").select(key)
+    twice = stage(twice, "repeated_keys")
+    if not twice.limit(1).count():
+        return kept
+    blank = r"[ \t\n\x0B\f\r]+"
+    same = F.md5(lower_ascii(F.btrim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), blank, " "), F.lit(" "))))
+    again = kept.join(twice, key, "left_semi").withColumn("same_words", same).dropDuplicates([key, "same_words"]).drop("same_words")
+    return kept.join(twice, key, "left_anti").unionByName(again)
