@@ -17,7 +17,7 @@ def classify(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is S; the last is a sentinel, less than all else."""
     n = len(s)
     differs = np.append(s[:-1] != s[1:], True)
-    at = np.where(differs, np.arange(n), n - 1)
+    at = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n - 1))
     at = np.minimum.accumulate(at[::-1])[::-1]  # where the run of equal symbols ends
     return np.append(s, 0)[at] < np.append(s[1:], [s[-1], s[-1]])[at] if n > 1 else np.ones(n, bool)
 
@@ -35,7 +35,7 @@ def spread(sa: np.ndarray, at: np.ndarray, found: np.ndarray, keys: np.ndarray,
 def induce(s: np.ndarray, is_s: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All suffixes sorted, as far as the given order of the leftmost S ones tells."""
     n = len(s)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     key = s[first]
     back = ends - 1
     spread(sa, back, first[::-1], key[::-1], -1)
@@ -76,7 +76,7 @@ def induce(s: np.ndarray, is_s: np.ndarray, first: np.ndarray, starts: np.ndarra
 
 def names_of(s: np.ndarray, is_s: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Ranks of the leftmost-S substrings, which ``order`` has sorted; equal ones share a rank."""
-    length = np.zeros(len(s), np.int64)
+    length = np.zeros(len(s), np.int32)
     length[lms] = np.diff(np.append(lms, len(s) - 1)) + 1
     a, b = order[:-1], order[1:]
     same = length[a] == length[b]
@@ -89,9 +89,9 @@ def names_of(s: np.ndarray, is_s: np.ndarray, order: np.ndarray, lms: np.ndarray
         live = live[ok]
         d += 1
         live = live[length[a[live]] > d]
-    rank = np.empty(len(s), np.int64)
+    rank = np.empty(len(s), np.int32)
     rank[order] = np.cumsum(np.append(0, ~same))
-    return rank[lms]
+    return rank[lms].astype(np.int64)
 
 
 def refine(c: np.ndarray, start: np.ndarray, stop: np.ndarray, tail: np.ndarray | None) -> np.ndarray:
@@ -168,7 +168,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.array(sorted(range(len(text)), key=lambda i: text[i:].tobytes()), np.int64)
     is_s = classify(s)
     is_s[-1] = True
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(np.int32)
     size = np.bincount(s, minlength=257)
     ends = np.cumsum(size)
     starts = ends - size
@@ -191,16 +191,16 @@ def permuted_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
     In text order, by way of each position's predecessor; eight bytes are compared at once.
     """
     n = len(text)
-    before = np.full(n, n, np.int64)
+    before = np.full(n, n, np.int32)
     before[sa[1:]] = sa[:-1]
     padded = np.concatenate([text, np.zeros(most + 16, np.uint8)])
     eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[:, ::-1]
     word = np.zeros(n + most + 8, np.uint64)
     for i in range(8):
         word |= eight[: len(word), 7 - i].astype(np.uint64) << np.uint64(8 * i)
-    out = np.zeros(n, np.int64)
-    live = np.flatnonzero(before < n)
-    room = n - np.maximum(np.arange(n), before)  # to the end of the text
+    out = np.zeros(n, np.int32)
+    live = np.flatnonzero(before < n).astype(np.int32)
+    room = n - np.maximum(np.arange(n, dtype=np.int32), before)  # to the end of the text
     d = 0
     while len(live) and d < most:
         x = word[live + d] ^ word[before[live] + d]
@@ -208,7 +208,7 @@ def permuted_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
         off = live[~equal]
         low = x[~equal]
         low &= ~low + np.uint64(1)
-        out[off] = d + (np.log2(low.astype(np.float64)).astype(np.int64) >> 3)
+        out[off] = d + (np.log2(low.astype(np.float64)).astype(np.int32) >> 3)
         live = live[equal]
         d += 8
         out[live] = d

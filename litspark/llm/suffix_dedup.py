@@ -24,7 +24,7 @@ from .windows import bundles, byte_symbols, candidates, covered, distinct_texts,
 
 WINDOW, GRAM = 200, 40
 #: Bytes of a shard's text, and bundles of an anchor, beyond which its strings are counted instead.
-SHARD, MOST_BUNDLES = 1 << 20, 2048
+SHARD, MOST_BUNDLES = 1 << 19, 6000
 #: In UTF-8 no byte has this value.
 BREAK = 0xFF
 
@@ -51,9 +51,9 @@ def repeated_in(h: np.ndarray, n: np.ndarray, lead: np.ndarray, bodies: list[byt
     text = np.frombuffer(bytes([BREAK]).join(bodies) + bytes([BREAK]), np.uint8)
     sa = suffix_array(text)
     same = permuted_prefixes(text, sa, window)[sa] >= window
-    of = np.repeat(np.arange(len(bodies)), size)[sa]
+    of = np.repeat(np.arange(len(bodies), dtype=np.int32), size)[sa]
     fits = end[of] - 1 - sa >= window
-    kind = np.cumsum(~same)  # suffixes that begin with the same string are neighbours
+    kind = np.cumsum(~same, dtype=np.int64)  # suffixes that begin with the same string are neighbours
     offset = lead[of] - (sa - (end - size)[of])
     ok = np.flatnonzero(fits & (offset >= 0))
     _, anchor = np.unique(h, return_inverse=True)
