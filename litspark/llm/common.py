@@ -53,10 +53,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage at files that outlive any executor, and gives the planner a true size to
     decide on a broadcast. What the written plan shuffled is no longer referenced afterwards. A
-    few files for each core are enough, however many partitions there are.
+    few files for each core or every four partitions are enough.
     """
     spark = df.sparkSession
-    df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
+    df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, partitions(spark) // 4))
     path = f"{shared_dir(spark)}/litspark/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

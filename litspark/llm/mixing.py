@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
+
 #: 13 hex digits, 52 bits: every value is exact in a double.
 DIGITS = 13
 
@@ -66,8 +68,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: M
     are an error in the weights and are raised as such.
     """
     docs = docs.drop("mix_copy", "mix_order", "mix_source", "mix_rate", "mix_n")
-    rates = source_rates(docs, source, weights, alpha, epoch)
-    # as many rows as there are sources: whole-table shuffles of documents are not needed for it
+    # written first: where the sources are few, the planner sees it in time to spare the documents
+    # a shuffle by source, of which one may have a third
+    rates = stage(source_rates(docs, source, weights, alpha, epoch), "rates")
     rates = rates.withColumn("mix_rate", F.when(F.col("mix_rate") <= most_rate, F.col("mix_rate")).otherwise(F.raise_error(F.lit("repetition rate over most_rate"))))
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = docs.withColumn("mix_source", F.coalesce(F.col(f"`{source}`"), F.lit("")))
