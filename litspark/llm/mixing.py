@@ -18,17 +18,21 @@ from .common import stage
 DIGITS = 13
 
 
-def uniform(seed: str, key: Column) -> Column:
-    """In [0, 1), from the md5 of seed and key."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, DIGITS), 16, 10).cast("bigint") / F.lit(float(16**DIGITS))
+#: A mean up to which one Poisson number is inverted; greater ones are sums of several.
+CHUNK = 64.0
 
 
-def poisson_inverse(u: Column, rate: Column, most: int) -> Column:
-    """The smallest k with u < P(X <= k); the terms are added up until then.
+def uniform(seed: Column | str, key: Column) -> Column:
+    """In [0, 1), from the md5 of seed and key."""
+    named = F.concat(F.lit(seed) if isinstance(seed, str) else seed, F.lit(":"), key)
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, DIGITS), 16, 10).cast("bigint") / F.lit(float(16**DIGITS))
 
-    ``most`` only ends the sum where the rest is below double precision; it grows with the rate.
-    """
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("cdf"), F.lit(0).alias("n"))
+
+def poisson_inverse(u: Column, rate: Column) -> Column:
+    """The smallest k with u < P(X <= k), for a rate of at most CHUNK: the terms are added up to where
+    the rest is below double precision."""
+    most = int(CHUNK + 12 * CHUNK**0.5 + 30)
+    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("cdf"), F.lit(0).cast("bigint").alias("n"))
 
     def step(acc: Column, k: Column) -> Column:
         term = acc["term"] * rate / k
@@ -37,6 +41,15 @@ def poisson_inverse(u: Column, rate: Column, most: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step, lambda acc: acc["n"])
 
 
+def poisson_count(seed: str, key: Column, rate: Column) -> Column:
+    """A Poisson number of any mean: that of a great one is the sum of numbers of equal parts of it,
+    each from a seed of its own."""
+    parts = F.greatest(F.ceil(rate / CHUNK), F.lit(1))
+    one = lambda j: poisson_inverse(uniform(F.concat(F.lit(seed), F.when(j > 0, F.concat(F.lit("#"), j.cast("string"))).otherwise("")), key), rate / parts)
+    more = F.aggregate(F.sequence(F.lit(1).cast("bigint"), parts - 1), F.lit(0).cast("bigint"), lambda acc, j: acc + one(j))
+    return one(F.lit(0)) + F.when(parts > 1, more).otherwise(0)
+
+
 def source_rates(docs: DataFrame, source: str = "source", weights: Mapping[str, float] | None = None, alpha: float = 0.5, epoch: float = 1.0) -> DataFrame:
     """A row (source, rate) per source: rate = epoch * N * weight / n.
 
@@ -58,24 +71,22 @@ def source_rates(docs: DataFrame, source: str = "source", weights: Mapping[str,
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: Mapping[str, float] | None = None, alpha: float = 0.5,
-        epoch: float = 1.0, seed: str = "mix", most_rate: float = 64.0, shuffle: bool = True) -> DataFrame:
+        epoch: float = 1.0, seed: str = "mix", shuffle: bool = True) -> DataFrame:
     """Every document repeated by its count, in a global random order.
 
     Adds ``mix_copy`` (from 0) and ``mix_order`` (16 hex digits; rows are dealt and sorted by it, so
     partitions and files are in random order throughout). Rows with the same key get the same
     count; a null key counts as empty, a null source as ''. An empty table gives an empty result.
-    Columns of those names are replaced; all others pass through. Rates over ``most_rate`` copies
-    are an error in the weights and are raised as such.
+    Columns of those names are replaced; all others pass through. Rates are not capped: a rare source
+    with a great weight is repeated as often as that takes.
     """
     docs = docs.drop("mix_copy", "mix_order", "mix_source", "mix_rate", "mix_n")
     # written first: where the sources are few, the planner sees it in time to spare the documents
     # a shuffle by source, of which one may have a third
     rates = stage(source_rates(docs, source, weights, alpha, epoch), "rates")
-    rates = rates.withColumn("mix_rate", F.when(F.col("mix_rate") <= most_rate, F.col("mix_rate")).otherwise(F.raise_error(F.lit("repetition rate over most_rate"))))
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = docs.withColumn("mix_source", F.coalesce(F.col(f"`{source}`"), F.lit("")))
-    most = int(most_rate + 12 * most_rate**0.5 + 30)
-    n = poisson_inverse(uniform(seed, name), F.col("mix_rate"), most)
+    n = poisson_count(seed, name, F.col("mix_rate"))
     rows = keyed.join(rates, "mix_source").withColumn("mix_n", n).where("mix_n > 0")
     rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_n") - 1)))
     order = F.substring(F.md5(F.concat(F.lit(f"{seed}-order:"), name, F.lit(":"), F.col("mix_copy").cast("string")).cast("binary")), 1, 16)
