@@ -59,7 +59,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, partitions(spark) // 4))
     path = f"{shared_dir(spark)}/litspark/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _staged.append((path, None))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._litspark_path = path
+    return out
+
+
+#: Paths (and table names) of what this process has staged and not dropped.
+_staged: list[tuple[str, str | None]] = []
+
+
+def staged_mark() -> int:
+    """To be given to :func:`drop_staged` later."""
+    return len(_staged)
+
+
+def drop_staged(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
+    """Delete what was staged since ``mark``, but for the tables ``keep``. For an operator's end, when
+    only these are still to be read."""
+    kept = {df._litspark_path for df in keep}
+    for path, table in _staged[mark:]:
+        if path in kept:
+            continue
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _delete(spark, path)
+    _staged[mark:] = [(p, t) for p, t in _staged[mark:] if p in kept]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def selective(df: DataFrame, key: str) -> DataFrame:
@@ -69,11 +99,9 @@ def selective(df: DataFrame, key: str) -> DataFrame:
 
 
 def unstage(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a staged table that nothing reads any more."""
+    _delete(spark, df._litspark_path)
+    _staged[:] = [x for x in _staged if x[0] != df._litspark_path]
 
 
 def release(spark: SparkSession) -> None:
@@ -88,9 +116,22 @@ def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     table = f"litspark_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/litspark/{table}"
     df.repartition(n, key).write.bucketBy(n, key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
+    _staged.append((path, table))
     return spark.table(table)
 
 
+def hash_sample(rows: DataFrame, key: str, most: int, seed: str) -> DataFrame:
+    """At most ``most`` rows, by hash of ``key``: the same ones however the table is partitioned.
+
+    A threshold on the hash leaves a few times as many for the sort, whose size so does not follow the
+    table's.
+    """
+    n = rows.count()
+    if n > 8 * most:
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(f"{seed} share"), key), F.lit(1 << 40)) < int((1 << 40) * 2.0 * most / n))
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, prepare, stage
+from .common import components, drop_staged, prepare, stage, staged_mark
 
 #: Home vectors of a group; vectors to a pivot; a row's cells are the bits of a long.
 BLOCK, PER_PIVOT, MOST_PIVOTS = 4096, 4000, 60
@@ -183,10 +183,10 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     An empty table gives no rows; other columns do not matter.
     """
     spark = vectors.sparkSession
-    prepare(spark)
     prepare(spark, 2000)
     element = vectors.schema[vector].dataType.elementType
     kind = "f4" if isinstance(element, T.FloatType) else "f8"
+    mark = staged_mark()
     good = stage(usable(vectors, key, vector, kind), "vectors")
     classes = good.groupBy("raw", "dim").agg(F.count("*").alias("copies"), F.min("vec").alias("rep"))
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
@@ -207,6 +207,7 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     n = all_sums.groupBy("id").agg(F.sum("links").alias("links"))
     facts = classes.join(n, "id", "left").join(named, "id", "left")
     facts = stage(facts.select("raw", "dim", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "rep").alias("component_id")), "facts")
+    drop_staged(spark, mark, good, facts)
     known = good.join(facts, ["raw", "dim"]).select(F.col("vec").alias(key), "n_links", "component_id")
     # the rest: rows that cannot link; a repeated key may have both kinds, so they are found by place
     rest = vectors.select(F.col(f"`{key}`").cast("bigint").alias(key), F.col(f"`{vector}`").alias("v"))

@@ -102,8 +102,23 @@ def span_hash(c: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Power
     return mix((c[ends] - c[starts]) * powers.get(len(c))[1][starts])
 
 
+#: Bytes that are hashed at once where a single document is longer.
+PIECE = 1 << 20
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
-    return span_hash(prefix((TABLE_FOLDED if fold else TABLE)[buf], P_BYTE), starts, ends, P_BYTE)
+    """Hashes of spans that follow one another; of a long document, a piece of it at a time."""
+    table = TABLE_FOLDED if fold else TABLE
+    if len(buf) <= PIECE:
+        return span_hash(prefix(table[buf], P_BYTE), starts, ends, P_BYTE)
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
+        lo, hi = starts[i], ends[j - 1]
+        out[i:j] = span_hash(prefix(table[buf[lo:hi]], P_BYTE), starts[i:j] - lo, ends[i:j] - lo, P_BYTE)
+        i = j
+    return out
 
 
 def shingles(wh: np.ndarray, wo: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stage, text_hash
+from .common import drop_staged, lower_ascii, stage, staged_mark, text_hash
 
 #: What a line's key loses at both ends: space, and tab to carriage return.
 BLANK = " \t\n\x0b\x0c\r"
@@ -39,12 +39,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     ).select(
         "th", F.transform("keys", lambda k: F.when(F.length(k) >= min_chars, F.unhex(F.md5(k.cast("binary"))))).alias("hashes")
     )
+    mark = staged_mark()
     counts = hashed.select(F.explode(F.array_distinct("hashes")).alias("h")).where("h is not null")
     frequent = stage(counts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "lines")
     drops = hashed.select("th", F.posexplode("hashes").alias("pos", "h")).where("h is not null")
     # written first: the join below then has a plain shuffle on both sides, which AQE splits at a
     # text that many rows share
     drops = stage(drops.join(frequent, "h", "left_semi").groupBy("th").agg(F.collect_set("pos").alias("drop")), "drops")
+    drop_staged(docs.sparkSession, mark, drops)
     lines = F.split(F.coalesce(F.col(col), F.lit("")), "\n", -1)
     joined = base.withColumn("th", text_hash(col)).join(drops, "th", "left").withColumn("lines", lines)
     kept = F.when(F.col("drop").isNull(), F.coalesce(F.col(col), F.lit(""))).otherwise(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import components, lower_ascii, prepare, release, selective, stage, stage_bucketed
+from .common import components, drop_staged, lower_ascii, prepare, release, selective, stage, stage_bucketed, staged_mark
 
 COORDINATES = 64
 #: Posted coordinates, and how many of them two linked classes share at least: of 20 that agree with
@@ -294,6 +294,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """
     spark = docs.sparkSession
     prepare(spark)
+    mark = staged_mark()
     rows = stage(sketch(docs, key, text, k), "sketches")
     classes = rows.where("n > 0 AND d IS NOT NULL").groupBy("k1", "k2", "n").agg(F.min("d").alias("rep"), F.first("sig").alias("sig"))
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
@@ -325,6 +326,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     least = reps.groupBy("component").agg(F.min("rep").alias("least"))
     named = reps.join(least, "component").select(F.col("node").alias("id"), "least")
     named = stage(classes.select("id", "k1", "k2", "n", "rep").join(named, "id", "left").select("k1", "k2", "n", F.coalesce("least", "rep").alias("least")), "named")
+    drop_staged(spark, mark, rows, named)
     out = rows.select("d", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("least", "d")).otherwise(F.col("d"))
     component = F.when(F.col("d").isNotNull(), component)

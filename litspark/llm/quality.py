@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
+from .common import hash_sample
 
 _CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b"\t\r\x0b\x0c", b".,", b";:?'\"-()", b"!", b"*#", b"$%&@", b"|<>{}[]\\/_=+~^`")
-CLASS = np.full(256, len(_CLASSES), np.int64)  # other control bytes
+CLASS = np.full(256, len(_CLASSES), np.uint8)  # other control bytes
 for _i, _x in enumerate(_CLASSES):
     CLASS[list(_x)] = _i
 CLASS[128:] = len(_CLASSES) + 1
@@ -30,9 +31,11 @@ STATISTICS = [f"share_{i}" for i in range(N_CLASS)] + ["log_bytes", "log_words",
 def statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """A row of STATISTICS for each document of a slice; an empty one has zeros."""
     docs, size = len(off) - 1, np.diff(off)
-    doc = np.repeat(np.arange(docs), size)
     kind = CLASS[buf]
-    counts = np.bincount(doc * N_CLASS + kind, minlength=docs * N_CLASS).reshape(docs, N_CLASS).astype(np.float64)
+    if docs == 1:
+        counts = np.bincount(kind, minlength=N_CLASS)[None].astype(np.float64)
+    else:
+        counts = np.bincount(np.repeat(np.arange(docs) * N_CLASS, size) + kind, minlength=docs * N_CLASS).reshape(docs, N_CLASS).astype(np.float64)
     starts, ends, wo = K.words(buf, off)
     wh = K.word_hashes(buf, starts, ends)
     n_words, of = np.diff(wo), np.repeat(np.arange(docs), np.diff(wo))
@@ -55,13 +58,12 @@ def statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     up = (kind[starts] == 1) & (kind[np.minimum(starts + 1, max(len(buf) - 1, 0))] == 1) & (ends - starts > 1) if len(starts) else np.zeros(0, bool)
     lines = counts[:, 4] + 1
     # a line's hash, of all its bytes
-    c = K.prefix(K.TABLE[buf], K.P_BYTE)
     breaks = np.flatnonzero(buf == 10)
     ls = np.sort(np.concatenate([off[:-1], breaks + 1]))
     le = np.minimum(np.append(ls[1:], len(buf)), len(buf))
     ld = np.clip(np.searchsorted(off, ls, "right") - 1, 0, docs - 1)
     full = le - ls > 1
-    lh = K.span_hash(c, ls[full], le[full], K.P_BYTE)
+    lh = K.word_hashes(buf, ls[full], le[full])
     lk = np.sort((ld[full].astype(np.uint64) << (K.U(64) - bits)) | (lh >> bits))
     again = np.zeros(len(lk), bool)
     again[1:] = lk[1:] == lk[:-1]
@@ -152,7 +154,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column,
     The sample's size is the bound that lets it be broadcast.
     """
     rows = labels.where(train).where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("double").alias("y"))
-    rows = rows.orderBy(F.xxhash64(F.lit("sample"), "k"), "k", "y").limit(most)
+    rows = hash_sample(rows, "k", most, "sample")
     return docs.select(F.col(key).alias("k"), F.col(text).alias("x")).join(F.broadcast(rows), "k").select("k", "x", "y")
 
 

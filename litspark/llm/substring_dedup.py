@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import stage, text_hash
+from .common import drop_staged, stage, staged_mark, text_hash
 from .windows import LEAST_ID, candidates, covered, distinct_texts, gather, runs, setup, window_rows, word_symbols
 
 WINDOW, GRAM = 50, 12
@@ -95,11 +95,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     Without ``keep_text`` the texts themselves are left out (null).
     """
     setup(docs)
+    mark = staged_mark()
     own = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").alias("x"))
     keyed = own.where("key IS NOT NULL")
     texts = distinct_texts(keyed, "key", "x")
     marks = verdicts(texts, window, gram)
     found = stage(cut(texts.join(marks, "k", "left").select("th", "m", "x", "at"), window, keep_text), "results")
+    drop_staged(docs.sparkSession, mark, found)
     rows = keyed.select("key", text_hash("x").alias("th")).join(found, "th")
     whole = (F.col("key") > F.col("m")) & (F.col("n_words") >= window)
     all_words = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("length")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import stage, text_hash
+from .common import drop_staged, stage, staged_mark, text_hash
 from .suffix_array import permuted_prefixes, suffix_array
 from .windows import bundles, byte_symbols, candidates, covered, distinct_texts, gather, runs, setup, spots_of, window_rows
 
@@ -151,9 +151,11 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     not matter. Without ``keep_bytes`` the bytes themselves are left out (null).
     """
     setup(docs)
+    mark = staged_mark()
     own = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("x"))
     numbered = own.select(F.lit(0).cast("bigint").alias("key"), "x") if "int" not in own.schema["key"].dataType.simpleString() else own
     texts = distinct_texts(numbered, "key", "x")
     marks = verdicts(texts, window, gram)
     found = stage(cut(texts.join(marks, "k", "left").select("th", "n", "x", "at"), window, keep_bytes), "results")
+    drop_staged(docs.sparkSession, mark, found)
     return own.select(F.col("key").alias(key), text_hash("x").alias("th")).join(found, "th").drop("th")

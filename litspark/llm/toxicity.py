@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .common import hash_sample
 from .quality import score_rows
 
 BITS = 20
@@ -137,8 +138,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     if prior is None:
         share = known.agg(F.avg(F.col(label).cast("double")).alias("p")).first()["p"]
         prior = float(np.clip(share if share is not None else 0.1, 0.005, 0.9))
-    toxic = known.where(F.col(label) == 1).select(F.col(key).alias("k")).distinct().orderBy(F.xxhash64(F.lit("toxic"), "k"), "k").limit(most_positive)
-    free = docs.where(train & F.col(key).isNotNull()).select(F.col(key).alias("k")).distinct().orderBy(F.xxhash64(F.lit("free"), "k"), "k").limit(most_unlabelled)
+    toxic = hash_sample(known.where(F.col(label) == 1).select(F.col(key).alias("k")).distinct(), "k", most_positive, "toxic")
+    free = hash_sample(docs.where(train & F.col(key).isNotNull()).select(F.col(key).alias("k")).distinct(), "k", most_unlabelled, "free")
     marks = toxic.select("k", F.lit(1).alias("p")).unionAll(free.select("k", F.lit(0).alias("p")))  # bounded by the two limits
     sample = docs.select(F.col(key).alias("k"), F.col(text).alias("x")).join(F.broadcast(marks), "k")
 

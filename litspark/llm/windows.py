@@ -49,6 +49,17 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return texts.select("k", "th", "m", "n", "x")
 
 
+def pieces(symbols: Symbols, buf: np.ndarray, off: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A long document's bytes in pieces that share all but one byte of a window, so each window is in
+    one piece. An anchor at a border has a bundle in both. Words are few enough to take at once."""
+    if symbols is not byte_symbols or len(buf) <= 4 * K.PIECE:
+        yield 0, buf, off
+        return
+    for at in range(0, len(buf) - window + 1, K.PIECE):
+        part = buf[at : at + K.PIECE + window - 1]
+        yield at, part, np.array([0, len(part)])
+
+
 def anchor_rows(texts: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
     """(h, seg, k, m, pos, far, near): every anchor with the hash of its bundle, whose windows start
     ``far`` to ``near`` symbols before it."""
@@ -56,17 +67,18 @@ def anchor_rows(texts: DataFrame, symbols: Symbols, window: int, gram: int) -> D
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, _, buf, off in K.text_slices(b.column("x")):
-                c, so, powers = symbols(buf, off)
-                pos, h, lo, hi, doc = K.anchors(c, so, powers, window, gram)
-                if not len(pos):
-                    continue
-                far, near = pos - lo, pos - hi
-                seg = K.mix(K.span_hash(c, lo, hi + window, powers) + far.astype(np.uint64) * K.U(0x9E3779B97F4A7C15) + near.astype(np.uint64))
-                row = pa.array(i + doc)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), b.column("k").take(row), b.column("m").take(row), *(pa.array(x.astype(np.int32)) for x in (pos - so[doc], far, near))],
-                    ["h", "seg", "k", "m", "pos", "far", "near"],
-                )
+                for at, part, bounds in pieces(symbols, buf, off, window):
+                    c, so, powers = symbols(part, bounds)
+                    pos, h, lo, hi, doc = K.anchors(c, so, powers, window, gram)
+                    if not len(pos):
+                        continue
+                    far, near = pos - lo, pos - hi
+                    seg = K.mix(K.span_hash(c, lo, hi + window, powers) + far.astype(np.uint64) * K.U(0x9E3779B97F4A7C15) + near.astype(np.uint64))
+                    row = pa.array(i + doc)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), b.column("k").take(row), b.column("m").take(row), *(pa.array(x.astype(np.int32)) for x in (at + pos - so[doc], far, near))],
+                        ["h", "seg", "k", "m", "pos", "far", "near"],
+                    )
 
     return texts.mapInArrow(work, "h long, seg long, k long, m long, pos int, far int, near int")
 
