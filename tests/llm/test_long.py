@@ -25,8 +25,8 @@ def test_bytes_of_a_long_document(spark, monkeypatch):
     rng = random.Random(0)
     text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     shared = text(300)
-    long = text(1_000_000) + shared + text(4_300_000) + shared[:250] + text(10)
-    rows = spark.createDataFrame([(1, long), (2, text(50) + shared + text(50))], "doc_id long, text string")
+    long = text(999_999) + "X" + shared + "Y" + text(4_299_998) + "Z" + shared[:250] + "0" + text(10)
+    rows = spark.createDataFrame([(1, long), (2, text(49) + "1" + shared + "2" + text(50))], "doc_id long, text string")
     got = {r.doc_id: [(s.start, s.length) for s in r.spans] for r in remove_repeated_bytes(rows).collect()}
     assert got == {1: [(1_000_000, 300), (5_300_300, 250)], 2: [(50, 300)]}
 
