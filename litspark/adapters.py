@@ -13,11 +13,12 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-Judge = Callable[[str, str, str], dict]
+from .shipping import send_package
 
 
 def call(rows: DataFrame, make: Callable[[], Callable[[dict], str | None]], inputs: list[str], output: str = "answer", retries: int = 0) -> DataFrame:
     """Adds ``output`` and ``error``: what ``make()`` returns for a dict of ``inputs``, as text."""
+    send_package(rows.sparkSession)
     schema = f"{rows._jdf.schema().toDDL()}, `{output}` string, `error` string"
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -43,6 +43,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
@@ -222,12 +227,14 @@ def clean_csv_text(c: Column | str) -> Column:
             hit = hit | F.lower(s).contains(w)
         return hit
 
-    kinds = F.transform(lines, lambda s: F.struct(s.alias("s"), csv(s).alias("csv"), ((strip(s) != "") & ~F.startswith(strip(s), F.lit('"'))).alias("other")))
-    start = F.array_position(F.transform(kinds, lambda k: k["csv"]), True)
-    end = F.filter(F.transform(kinds, lambda k, i: F.when((i + 1 > start) & ~k["csv"] & k["other"], i)), lambda i: i.isNotNull())
-    last = F.coalesce(F.get(end, F.lit(0)), F.size(lines))
-    kept = F.filter(kinds, lambda k, i: k["csv"] & (i < last))
-    return F.when(start > 0, F.array_join(F.transform(kept, lambda k: k["s"]), "\n")).otherwise("")
+    seen = F.transform(lines, lambda s: F.struct(s.alias("s"), csv(s).alias("csv"), ((strip(s) != "") & ~F.startswith(strip(s), F.lit('"'))).alias("other")))
+
+    def kept(kinds: Column, start: Column) -> Column:
+        end = F.filter(F.transform(kinds, lambda k, i: F.when((i + 1 > start) & ~k["csv"] & k["other"], i)), lambda i: i.isNotNull())
+        rows = bound(F.coalesce(F.get(end, F.lit(0)), F.size(kinds)), lambda last: F.filter(kinds, lambda k, i: k["csv"] & (i < last)))
+        return F.when(start > 0, F.array_join(F.transform(rows, lambda k: k["s"]), "\n")).otherwise("")
+
+    return bound(seen, lambda kinds: bound(F.array_position(F.transform(kinds, lambda k: k["csv"]), True), lambda start: kept(kinds, start)))
 
 
 def legacy_postprocess(c: Column | str) -> Column:

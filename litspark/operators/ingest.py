@@ -105,3 +105,8 @@ def check_columns(rows: DataFrame, required: tuple[str, ...], pmid: str = "PMID"
         return rows.agg(F.count("*").alias("total_rows")).select("total_rows", missing.alias("missing_columns"), F.array().cast("array<string>").alias("bad_pmids"))
     bad = F.when(F.col(pmid).isNotNull() & ~valid_pmid(F.col(pmid)), F.col(pmid))
     return rows.agg(F.count("*").alias("total_rows"), F.slice(F.array_sort(F.collect_set(bad)), 1, 5).alias("bad_pmids")).select("total_rows", missing.alias("missing_columns"), "bad_pmids")
+
+
+def seeded_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows by hash of key and seed: the same ones on any cluster."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import bound, strip
 
 # Labels of tables.
 LABELS = ("brain_activation", "demographic", "statistical", "methodological", "other")
@@ -54,16 +54,23 @@ def structure(text: Column) -> Column:
     The rule is the first line of dashes, colons and blanks only; the header stands above it, or is the
     first line. Blank cells are dropped, and with them any row that then is not as long as the header.
     """
-    filled = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), strip), lambda s: s != "")
-    is_rule = F.transform(filled, lambda s: strip(F.replace(s, F.lit("|"), F.lit(""))).rlike(r"^[:\-\s]+$"))
-    rule = (F.array_position(is_rule, True) - 1).cast("int")
-    has_header = rule > 0
-    header = cells(F.coalesce(F.get(filled, F.when(has_header, rule - 1).otherwise(0)), F.lit("")))
-    rest = F.slice(filled, F.when(rule >= 0, rule + 2).otherwise(2), F.greatest(F.size(filled), F.lit(1)))
-    data = F.filter(F.transform(F.filter(rest, lambda s: s.contains("|")), cells), lambda r: F.size(r) == F.size(header))
-    return F.struct(
-        F.size(data).alias("num_rows"), F.size(header).alias("num_columns"), has_header.alias("has_header"), F.when(F.size(filled) > 0, header).alias("header_row"), data.alias("data_rows")
-    )
+
+    def table(filled: Column, rule: Column) -> Column:
+        has_header = rule > 0
+        rest = F.slice(filled, F.when(rule >= 0, rule + 2).otherwise(2), F.greatest(F.size(filled), F.lit(1)))
+        rows = F.transform(F.filter(rest, lambda s: s.contains("|")), cells)
+        parts = lambda header, data: F.struct(
+            F.size(data).alias("num_rows"), F.size(header).alias("num_columns"), has_header.alias("has_header"), F.when(F.size(filled) > 0, header).alias("header_row"), data.alias("data_rows")
+        )
+        head = cells(F.coalesce(F.get(filled, F.when(has_header, rule - 1).otherwise(0)), F.lit("")))
+        return bound(head, lambda header: bound(F.filter(rows, lambda r: F.size(r) == F.size(header)), lambda data: parts(header, data)))
+
+    def rule_of(filled: Column) -> Column:
+        is_rule = F.transform(filled, lambda s: strip(F.replace(s, F.lit("|"), F.lit(""))).rlike(r"^[:\-\s]+$"))
+        return (F.array_position(is_rule, True) - 1).cast("int")
+
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), strip), lambda s: s != "")
+    return bound(lines, lambda filled: bound(rule_of(filled), lambda rule: table(filled, rule)))
 
 
 def cells_long(found: DataFrame, keys: list[str], struct: str = "structure") -> DataFrame:

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import validate as V
+from ..adapters import echo_ocr, keyword_judge
 from ..operators import html as H
 from ..operators import ingest as I
+from ..operators import model_tables as M
 from ..operators import ontology as O
 from ..operators import reports as R
 from ..operators import screening as C
 from ..operators import segment as S
 from ..operators import tables as T
+from . import pipelines as P
 from .views import duck, table, view
 
 QUERIES: dict = {}
@@ -815,3 +820,61 @@ def finder_links(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH l AS ({_LINKS}) SELECT page_id, CASE WHEN generic_citation IS NOT NULL THEN 'generic_citation' WHEN pubmed_central IS NOT NULL THEN 'pubmed_central' WHEN acs IS NOT NULL THEN 'acs' WHEN nejm IS NOT NULL THEN 'nejm' END AS finder, coalesce(generic_citation, pubmed_central, acs, nejm) AS pdf_url FROM l", "v_link")
 def finder_first(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "v_link").select("page_id", H.find_pdf(F.col("landing"), F.col("page")).alias("x")).select("page_id", "x.finder", "x.pdf_url")
+
+
+# ---- through adapters, with deterministic doubles of the models
+
+
+@query(
+    """SELECT doc_id::VARCHAR AS pmid, doc_id % 5 = 1 AS include, CASE WHEN doc_id % 5 = 1 THEN 0.92 WHEN doc_id % 5 = 0 THEN 0.0 ELSE 0.25 END::DOUBLE AS confidence,
+    CASE WHEN doc_id % 5 = 1 THEN 'method+topic fit' WHEN doc_id % 5 = 0 THEN 'abstract_unavailable' ELSE 'not in scope' END AS reason FROM documents WHERE doc_id % 7 > 0"""
+)
+def screen_with_model(spark: SparkSession, d: str) -> DataFrame:
+    abstract = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "fMRI of language").otherwise(F.left("text", F.lit(40)))
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("pmid"), F.col("source").alias("title"), abstract.alias("abstract"), "doc_id")
+    return P.screen(rows.drop("doc_id"), keyword_judge, done=rows.where("doc_id % 7 = 0")).select("pmid", "include", "confidence", "reason")
+
+
+def label_double():
+    return lambda r: json.dumps({"category": "brain_activation" if " | 7 |" in r["snippet"] else "Statistical", "need_full_scan": True})
+
+
+@query("SELECT doc_id, CASE WHEN contains(md, ' | 7 |') THEN 'brain_activation' ELSE 'statistical' END AS category FROM v_mdtab", "v_mdtab")
+def table_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = view(spark, d, "v_mdtab").select("doc_id", F.col("md").alias("table_text"), F.lit("").alias("full_context"))
+    return M.categorize(rows, label_double, ("doc_id",)).select("doc_id", "category")
+
+
+@query(
+    """SELECT o_orderkey, 2 AS n_columns, (o_orderkey % 3 + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END)::INT AS n_rows, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS ragged,
+    CASE WHEN o_orderkey % 3 > 0 THEN 'a, ' || o_orderstatus WHEN o_orderkey % 2 = 0 THEN 'b' END AS first_region FROM orders"""
+)
+def csv_answers(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    body = F.repeat(F.concat(F.lit('"a, '), "o_orderstatus", F.lit('",1\n')), (key % 3).cast("int"))
+    answer = F.concat(F.lit("Here:\n```csv\nRegion,X\n"), body, F.when(key % 2 == 0, "b,2\n").otherwise("b,2,3\n"), F.lit("```\nthe end"))
+    out = table(spark, d, "orders").select("o_orderkey", M.csv_rows(answer).alias("p"))
+    return out.select("o_orderkey", F.size("p.columns").alias("n_columns"), F.size("p.rows").alias("n_rows"), "p.ragged", F.try_element_at(F.get("p.rows", F.lit(0)), F.lit("Region")).alias("first_region"))
+
+
+def path_double():
+    return lambda r: f"/pdf/{r['pmid']}.pdf" if int(r["pmid"]) % 3 else None
+
+
+@query(
+    f"""WITH p AS (SELECT DISTINCT {PMID} AS pmid FROM v_pmid WHERE ({REASON}) IS NULL)
+    SELECT pmid, CASE WHEN pmid::BIGINT % 3 > 0 THEN 'success' ELSE 'failed' END AS download_status, CASE WHEN pmid::BIGINT % 3 > 0 THEN 'completed' ELSE 'failed' END AS stage FROM p""",
+    "v_pmid",
+)
+def paper_stages(spark: SparkSession, d: str) -> DataFrame:
+    return P.papers(view(spark, d, "v_pmid").select("row_no", "raw_pmid"), path_double, echo_ocr)[0].select("pmid", "download_status", "stage")
+
+
+@query(
+    f"""WITH {CATS}, t AS (SELECT doc_id, sum(table_start::INT)::BIGINT AS table_count, count(*) FILTER (kind = 'page_marker')::INT AS pages FROM k GROUP BY doc_id)
+    SELECT t.doc_id, table_count, pages, count(c.category) AS block_count, any_value(strategy) AS strategy FROM t LEFT JOIN c USING (doc_id) GROUP BY t.doc_id, table_count, pages""",
+    "v_md",
+)
+def library_index(spark: SparkSession, d: str) -> DataFrame:
+    index = P.library(view(spark, d, "v_md").select("doc_id", "md"))[1]
+    return index.select("doc_id", "table_count", F.col("parsed_page_markers").alias("pages"), "block_count", "strategy")
