@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import send_package
+
 #: Rows handed to a Python worker at once; documents can be long, so fewer than Spark's default.
 ARROW_ROWS = 500
 
@@ -24,15 +24,7 @@ def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     # Spark's own Bloom filter before the shuffle, from smaller tables on; its size is bounded by
     # spark.sql.optimizer.runtime.bloomFilter.maxNumBits, and without it the join does all the work
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB")
-    sc = spark.sparkContext
-    if not getattr(sc, "_litspark_sent", False):
-        package = Path(__file__).resolve().parents[1]
-        packed = Path(tempfile.mkdtemp(prefix="litspark-")) / "litspark_package.zip"
-        with zipfile.ZipFile(packed, "w") as z:
-            for f in sorted(package.rglob("*.py")):
-                z.write(f, f.relative_to(package.parent))
-        sc.addPyFile(str(packed))
-        sc._litspark_sent = True
+    send_package(spark)
 
 
 def partitions(spark: SparkSession) -> int:
