@@ -12,13 +12,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 from .common import stage
 
 #: 13 hex digits, 52 bits: every value is exact in a double.
 DIGITS = 13
 
 
-#: A mean up to which one Poisson number is inverted; greater ones are sums of several.
+#: A mean up to which the distribution is inverted as one; greater ones are sums of several.
 CHUNK = 64.0
 
 
@@ -28,26 +29,28 @@ def uniform(seed: Column | str, key: Column) -> Column:
     return F.conv(F.substring(F.md5(named.cast("binary")), 1, DIGITS), 16, 10).cast("bigint") / F.lit(float(16**DIGITS))
 
 
-def poisson_inverse(u: Column, rate: Column) -> Column:
-    """The smallest k with u < P(X <= k), for a rate of at most CHUNK: the terms are added up to where
-    the rest is below double precision."""
+def poisson_cdf(rate: Column) -> Column:
+    """P(X <= 0), P(X <= 1) and so on, for a rate of at most CHUNK, to where double precision ends."""
     most = int(CHUNK + 12 * CHUNK**0.5 + 30)
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("cdf"), F.lit(0).cast("bigint").alias("n"))
+    start = F.struct(F.exp(-rate).alias("term"), F.array(F.exp(-rate)).alias("cdf"))
 
     def step(acc: Column, k: Column) -> Column:
         term = acc["term"] * rate / k
-        return F.struct(term.alias("term"), (acc["cdf"] + term).alias("cdf"), (acc["n"] + F.when(u >= acc["cdf"], 1).otherwise(0)).alias("n"))
+        return F.struct(term.alias("term"), F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + term)).alias("cdf"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step, lambda acc: acc["n"])
+    return F.array_distinct(F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step, lambda acc: acc["cdf"]))
 
 
-def poisson_count(seed: str, key: Column, rate: Column) -> Column:
-    """A Poisson number of any mean: that of a great one is the sum of numbers of equal parts of it,
-    each from a seed of its own."""
-    parts = F.greatest(F.ceil(rate / CHUNK), F.lit(1))
-    one = lambda j: poisson_inverse(uniform(F.concat(F.lit(seed), F.when(j > 0, F.concat(F.lit("#"), j.cast("string"))).otherwise("")), key), rate / parts)
-    more = F.aggregate(F.sequence(F.lit(1).cast("bigint"), parts - 1), F.lit(0).cast("bigint"), lambda acc, j: acc + one(j))
-    return one(F.lit(0)) + F.when(parts > 1, more).otherwise(0)
+def poisson_parts(rate: Column) -> Column:
+    return F.greatest(F.ceil(rate / CHUNK), F.lit(1)).cast("int")
+
+
+def poisson_count(seed: str, key: Column, parts: Column, cdf: Column) -> Column:
+    """The inverse at a hashed uniform number: how many terms of the distribution it is not below. A
+    number of a great mean is the sum of ``parts`` numbers of equal parts of it, a seed each."""
+    below = lambda u: bound(u, lambda v: F.size(F.filter(cdf, lambda c: v >= c)))
+    more = F.aggregate(F.sequence(F.lit(1), parts - 1), F.lit(0), lambda acc, j: acc + below(uniform(F.concat(F.lit(f"{seed}#"), j.cast("string")), key)))
+    return below(uniform(seed, key)) + F.when(parts > 1, more).otherwise(0)
 
 
 def source_rates(docs: DataFrame, source: str = "source", weights: Mapping[str, float] | None = None, alpha: float = 0.5, epoch: float = 1.0) -> DataFrame:
@@ -80,17 +83,18 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: M
     Columns of those names are replaced; all others pass through. Rates are not capped: a rare source
     with a great weight is repeated as often as that takes.
     """
-    docs = docs.drop("mix_copy", "mix_order", "mix_source", "mix_rate", "mix_n")
+    docs = docs.drop("mix_copy", "mix_order", "mix_source", "mix_parts", "mix_cdf")
     # written first: where the sources are few, the planner sees it in time to spare the documents
     # a shuffle by source, of which one may have a third
-    rates = stage(source_rates(docs, source, weights, alpha, epoch), "rates")
+    rates = source_rates(docs, source, weights, alpha, epoch).withColumn("mix_parts", poisson_parts(F.col("mix_rate")))
+    rates = stage(rates.select("mix_source", "mix_parts", poisson_cdf(F.col("mix_rate") / F.col("mix_parts")).alias("mix_cdf")), "rates")
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = docs.withColumn("mix_source", F.coalesce(F.col(f"`{source}`"), F.lit("")))
-    n = poisson_count(seed, name, F.col("mix_rate"))
-    rows = keyed.join(rates, "mix_source").withColumn("mix_n", n).where("mix_n > 0")
-    rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_n") - 1)))
+    n = poisson_count(seed, name, F.col("mix_parts"), F.col("mix_cdf"))
+    copies = bound(n, lambda v: F.when(v > 0, F.sequence(F.lit(0), v - 1)))  # no copies, no row
+    rows = keyed.join(rates, "mix_source").withColumn("mix_copy", F.explode(copies))
     order = F.substring(F.md5(F.concat(F.lit(f"{seed}-order:"), name, F.lit(":"), F.col("mix_copy").cast("string")).cast("binary")), 1, 16)
-    rows = rows.withColumn("mix_order", order).drop("mix_source", "mix_rate", "mix_n")
+    rows = rows.withColumn("mix_order", order).drop("mix_source", "mix_parts", "mix_cdf")
     if not shuffle:
         return rows
     return rows.repartition(F.col("mix_order")).sortWithinPartitions("mix_order")
