@@ -14,9 +14,9 @@ CORE_ARRAY = lambda: F.array(*[F.lit(c) for c in CORE])
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
-    """A row (key, i, raw, s) per line, i from 0, s stripped."""
+    """A row (key, i, raw, s) per line, i from 0, s stripped; a null text has none."""
     split = F.split(F.regexp_replace(F.col(text), r"\r\n?", "\n"), "\n", -1)
-    return docs.select(key, F.posexplode(split).alias("i", "raw")).withColumn("s", strip("raw"))
+    return docs.select(key, F.posexplode_outer(split).alias("i", "raw")).where("raw IS NOT NULL").withColumn("s", strip("raw"))
 
 
 def line_kinds(rows: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -75,8 +75,10 @@ def structure(text: Column) -> Column:
 
 def cells_long(found: DataFrame, keys: list[str], struct: str = "structure") -> DataFrame:
     """A row per cell, for tables of any columns: keys, row_no, col_no, column, value."""
-    rows = found.select(*keys, F.col(f"{struct}.header_row").alias("header"), F.posexplode(f"{struct}.data_rows").alias("row_no", "row"))
-    return rows.select(*keys, "row_no", "header", F.posexplode("row").alias("col_no", "value")).select(*keys, "row_no", "col_no", F.get("header", "col_no").alias("column"), "value")
+    # one array of cells, so that a structure that is computed just before is so once
+    cell = lambda s, i: lambda v, j: F.struct(i.alias("row_no"), j.alias("col_no"), F.get(s["header_row"], j).alias("column"), v.alias("value"))
+    every = bound(F.col(struct), lambda s: F.flatten(F.transform(s["data_rows"], lambda r, i: F.transform(r, cell(s, i)))))
+    return found.select(*keys, F.explode_outer(every).alias("cell")).where("cell IS NOT NULL").select(*keys, "cell.*")
 
 
 def filter_by_keywords(found: DataFrame, keywords: list[str]) -> DataFrame:
