@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 from .common import drop_staged, lower_ascii, stage, staged_mark, text_hash
 
 #: What a line's key loses at both ends: space, and tab to carriage return.
@@ -17,7 +18,7 @@ BLANK = " \t\n\x0b\x0c\r"
 
 
 def line_key(line: Column) -> Column:
-    return lower_ascii(F.btrim(line, F.lit(BLANK)))
+    return bound(F.btrim(line, F.lit(BLANK)), lower_ascii)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -39,10 +40,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     ).select(
         "th", F.transform("keys", lambda k: F.when(F.length(k) >= min_chars, F.unhex(F.md5(k.cast("binary"))))).alias("hashes")
     )
+    # outer, as no array is empty: else Spark computes them once more to filter empty ones
     mark = staged_mark()
-    counts = hashed.select(F.explode(F.array_distinct("hashes")).alias("h")).where("h is not null")
+    counts = hashed.select(F.explode_outer(F.array_distinct("hashes")).alias("h")).where("h is not null")
     frequent = stage(counts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "lines")
-    drops = hashed.select("th", F.posexplode("hashes").alias("pos", "h")).where("h is not null")
+    drops = hashed.select("th", F.posexplode_outer("hashes").alias("pos", "h")).where("h is not null")
     # written first: the join below then has a plain shuffle on both sides, which AQE splits at a
     # text that many rows share
     drops = stage(drops.join(frequent, "h", "left_semi").groupBy("th").agg(F.collect_set("pos").alias("drop")), "drops")

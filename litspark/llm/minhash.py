@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     value = lambda c: F.conv(F.hex(F.substring("sig", 4 * c + 1, 4)), 16, 10).cast("bigint")
-    posting = classes.select("id", "n", F.posexplode(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
+    posting = classes.select("id", "n", F.posexplode_outer(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
     posting = posting.select("id", "n", "coordinate", (F.col("value") * POSTED + F.col("coordinate")).alias("key"))
     lists = stage(posting.groupBy("key").agg(F.count("*").alias("len")).where("len > 1"), "lengths")
     # a class's prefix: its posted coordinates but those of its longest lists, as few as linked

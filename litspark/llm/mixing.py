@@ -92,7 +92,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: M
     keyed = docs.withColumn("mix_source", F.coalesce(F.col(f"`{source}`"), F.lit("")))
     n = poisson_count(seed, name, F.col("mix_parts"), F.col("mix_cdf"))
     copies = bound(n, lambda v: F.when(v > 0, F.sequence(F.lit(0), v - 1)))  # no copies, no row
-    rows = keyed.join(rates, "mix_source").withColumn("mix_copy", F.explode(copies))
+    rows = keyed.join(rates, "mix_source").withColumn("mix_copy", F.explode_outer(copies)).where("mix_copy IS NOT NULL")
     order = F.substring(F.md5(F.concat(F.lit(f"{seed}-order:"), name, F.lit(":"), F.col("mix_copy").cast("string")).cast("binary")), 1, 16)
     rows = rows.withColumn("mix_order", order).drop("mix_source", "mix_parts", "mix_cdf")
     if not shuffle:
