@@ -84,3 +84,24 @@ def first_source(sources: list[Callable[[dict], str | None]]) -> Callable[[], Ca
         return ask
 
     return make
+
+
+def explode_pages(files: DataFrame, make: Callable[[], Callable[[dict], Iterator[bytes]]], inputs: list[str], key: str = "path") -> DataFrame:
+    """(key, page_num, image, error): a renderer's pages of each file, streamed; a file that can't be
+    rendered is one row with the error."""
+    send_package(files.sparkSession)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        render = make()
+        for b in batches:
+            for r in b[inputs].to_dict("records"):
+                n = 0
+                try:
+                    for image in render(r):
+                        n += 1
+                        yield pd.DataFrame({"k": [r[key]], "page_num": [n], "image": [image], "error": [None]})
+                except Exception as e:  # noqa: BLE001
+                    yield pd.DataFrame({"k": [r[key]], "page_num": [n + 1], "image": [None], "error": [f"{type(e).__name__}: {e}"]})
+
+    out = files.select(*inputs).mapInPandas(work, "k string, page_num int, image binary, error string")
+    return out.withColumnRenamed("k", key)

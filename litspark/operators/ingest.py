@@ -110,3 +110,29 @@ def check_columns(rows: DataFrame, required: tuple[str, ...], pmid: str = "PMID"
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows by hash of key and seed: the same ones on any cluster."""
     return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+
+
+def valid_pmids(rows: DataFrame, pmid: str = "PMID") -> DataFrame:
+    """Valid identifiers, stripped; duplicates stay."""
+    return rows.where(valid_pmid(F.col(pmid))).select(strip(F.col(pmid)).alias("pmid"))
+
+
+def existing_paths(listing: DataFrame, decisions: DataFrame | None = None, path: str = "PDFPath") -> DataFrame:
+    """(path) of the files to read: all that are listed or, with ``decisions``, those named there."""
+    if decisions is None:
+        return listing.select("path").orderBy("path")
+    named = decisions.select(strip(F.col(path)).alias("path")).where("path <> ''")
+    return named.join(listing.select("path").distinct(), "path", "left_semi")
+
+
+def europe_pmc_pdf(answer: Column) -> Column:
+    """The first PDF address in an answer of the full-text service."""
+    schema = "struct<resultList:struct<result:array<struct<fullTextUrlList:struct<fullTextUrl:array<struct<documentStyle:string,url:string>>>>>>>"
+    lists = F.transform(F.from_json(answer, schema)["resultList"]["result"], lambda r: F.coalesce(r["fullTextUrlList"]["fullTextUrl"], F.array().cast("array<struct<documentStyle:string,url:string>>")))
+    hits = F.filter(F.flatten(lists), lambda u: (F.lower(u["documentStyle"]) == "pdf") & (F.coalesce(u["url"], F.lit("")) != ""))
+    return F.get(hits, F.lit(0))["url"]
+
+
+def idconv_pmcid(answer: Column) -> Column:
+    """The first record's archive identifier in an answer of the converter."""
+    return F.nullif(F.get(F.from_json(answer, "struct<records:array<struct<pmcid:string>>>")["records"], F.lit(0))["pmcid"], F.lit(""))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import detect_language, ocr_quality, strip
+
 STATUSES = ("success", "failed", "skipped", "error")
 
 
@@ -121,3 +123,52 @@ def assemble_pages(pages: DataFrame, key: str = "pdf") -> DataFrame:
     status = F.when(F.size("failed_pages") == 0, "**Status:** All pages converted successfully").otherwise(F.concat(F.lit("**Failed Pages:** "), failed))
     head = F.concat(F.lit("# "), F.col(key), F.lit("\n\n**Total Pages:** "), F.size("parts").cast("string"), F.lit("\n"), status, F.lit("\n\n" + "=" * 80 + "\n\n"))
     return out.select(key, F.concat(head, F.array_join(F.transform("parts", lambda p: p["x"]), "\n")).alias("markdown"), "failed_pages")
+
+
+def ocr_report(results: DataFrame) -> DataFrame:
+    """Rows of an OCR report; times to two places, half to even."""
+    return results.select(
+        "pdf", "status", F.coalesce("markdown", F.lit("")).alias("markdown"), "pages_processed", F.bround("processing_time", 2).alias("processing_time"), F.coalesce("error", F.lit("")).alias("error")
+    )
+
+
+def run_summary(results: DataFrame, status: str = "status") -> DataFrame:
+    """Total, and how many succeeded and did not."""
+    good = F.coalesce(F.lower(status) == "success", F.lit(False))
+    return results.agg(F.count("*").alias("total"), F.count_if(good).alias("success"), F.count_if(~good).alias("failed"))
+
+
+def success_means(results: DataFrame) -> DataFrame:
+    """Counts, and means of quality and length over successful runs; 0 without any."""
+    good = F.col("status") == "success"
+    mean = lambda c: F.coalesce(F.bround(F.avg(F.when(good, F.col(c))), 2), F.lit(0.0))
+    return results.agg(
+        F.count("*").alias("sample_size"), F.count_if(good).alias("success_count"), F.count_if(~good).alias("failed_count"), mean("quality_score").alias("avg_quality_score_success"),
+        mean("text_length").alias("avg_text_length_success"),
+    )
+
+
+def table_summary(tables: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Tables by document, and over all."""
+    per = tables.groupBy(key).agg(F.count("*").alias("tables"))
+    return per, per.agg(F.count("*").alias("documents"), F.coalesce(F.sum("tables"), F.lit(0)).alias("total_tables"))
+
+
+def progress(papers: DataFrame, order: str, every: int = 10, stage: str = "stage") -> DataFrame:
+    """Running numbers of completed and failed papers at every ``every``-th one. For monitoring a batch:
+    the window is over the whole of it."""
+    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda s: F.sum((F.col(stage) == s).cast("int")).over(w)
+    rows = papers.select(F.row_number().over(Window.orderBy(order)).alias("done"), count("completed").alias("completed"), count("failed").alias("failed"))
+    return rows.where(F.col("done") % every == 0)
+
+
+def markdown_stats(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
+    """Sizes, lines, language, marks and quality of Markdown texts that are not blank."""
+    x = F.col(text)
+    lines = F.split(x, "\n", -1)
+    score, level = ocr_quality(x)
+    return docs.where(F.coalesce(strip(x), F.lit("")) != "").select(
+        key, F.octet_length(x).alias("file_size"), F.length(x).alias("text_length"), F.size(lines).alias("line_count"), F.size(F.filter(lines, lambda s: strip(s) != "")).alias("non_empty_lines"),
+        detect_language(x).alias("language"), (x.contains("|") & x.contains("---")).alias("has_tables"), x.contains("#").alias("has_headings"), score.alias("quality_score"), level.alias("quality_level"),
+    )

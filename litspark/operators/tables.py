@@ -193,3 +193,15 @@ def canonical_rows(rows: Column) -> Column:
         return F.struct(*fields)
 
     return F.transform(rows, one)
+
+
+def zipped_tables(docs: DataFrame, key: str = "doc_id", contents: str = "tables", before: str = "infos", after: str = "annotations") -> DataFrame:
+    """A row per table of three parallel lists, as many as the shortest has: id, content, contexts, rows
+    and columns."""
+    n = F.least(F.size(contents), F.size(before), F.size(after))
+    zipped = F.slice(F.arrays_zip(F.col(contents).alias("t"), F.col(before).alias("b"), F.col(after).alias("a")), F.lit(1), F.greatest(n, F.lit(0)))
+    rows = docs.select(key, F.posexplode(zipped).alias("i", "x"))
+    return rows.select(
+        key, F.concat(F.lit("table_"), (F.col("i") + 1).cast("string")).alias("table_id"), F.col("x.t").alias("table_content"), F.col("x.b").alias("preceding_context"), F.col("x.a").alias("following_context"),
+        pipe_rows(F.col("x.t")).alias("num_rows"), pipe_columns(F.col("x.t")).alias("num_columns"),
+    )

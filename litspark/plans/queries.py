@@ -878,3 +878,50 @@ def paper_stages(spark: SparkSession, d: str) -> DataFrame:
 def library_index(spark: SparkSession, d: str) -> DataFrame:
     index = P.library(view(spark, d, "v_md").select("doc_id", "md"))[1]
     return index.select("doc_id", "table_count", F.col("parsed_page_markers").alias("pages"), "block_count", "strategy")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'https://e/' || event_id || '.pdf' END AS pdf, CASE WHEN event_id % 4 > 1 THEN 'PMC' || event_id END AS pmcid FROM events"""
+)
+def service_answers(spark: SparkSession, d: str) -> DataFrame:
+    e, i = F.col("event_id"), F.col("event_id").cast("string")
+    link = F.concat(F.lit('{"documentStyle": "html", "url": "https://e/x"}'), F.when(e % 3 == 0, F.concat(F.lit(', {"documentStyle": "PDF", "url": "https://e/'), i, F.lit('.pdf"}'))).otherwise(""))
+    full = F.concat(F.lit('{"resultList": {"result": [{}, {"fullTextUrlList": {"fullTextUrl": ['), link, F.lit("]}}]}}"))
+    conv = F.when(e % 4 == 0, '{"records": []}').when(e % 4 == 1, "broken").otherwise(F.concat(F.lit('{"records": [{"pmcid": "PMC'), i, F.lit('"}]}')))
+    return table(spark, d, "events").select("event_id", I.europe_pmc_pdf(full).alias("pdf"), I.idconv_pmcid(conv).alias("pmcid"))
+
+
+@query(
+    rf"""SELECT doc_id, strlen(md)::INT AS file_size, length(md)::INT AS text_length, len(string_split(md, chr(10)))::INT AS line_count, len({FILLED})::INT AS non_empty_lines, 'en' AS language,
+    contains(md, '|') AND contains(md, '---') AS has_tables, contains(md, '#') AS has_headings, least(30.0, length(md) / 1000.0::DOUBLE * 3) + len({FILLED})::DOUBLE / len(string_split(md, chr(10))) * 30 AS quality_score,
+    CASE WHEN quality_score >= 50 THEN 'fair' ELSE 'poor' END AS quality_level FROM v_md""",
+    "v_md",
+)
+def markdown_stats(spark: SparkSession, d: str) -> DataFrame:
+    return R.markdown_stats(view(spark, d, "v_md"))
+
+
+@query(
+    """SELECT count(*) AS sample_size, count(*) FILTER (status = 'success') AS success_count, count(*) FILTER (status <> 'success') AS failed_count,
+    round(avg(event_id % 100) FILTER (status = 'success'), 1) AS avg_quality_score_success, round(avg(file_size) FILTER (status = 'success'), 1) AS avg_text_length_success FROM v_dl""",
+    "v_dl",
+)
+def success_means(spark: SparkSession, d: str) -> DataFrame:
+    rows = view(spark, d, "v_dl").select("status", (F.col("event_id") % 100).alias("quality_score"), F.col("file_size").alias("text_length"))
+    out = R.success_means(rows)
+    return out.withColumns({c: F.round(c, 1) for c in ("avg_quality_score_success", "avg_text_length_success")})
+
+
+@query("SELECT count(*) AS documents, sum(n)::BIGINT AS total_tables FROM (SELECT doc_id, count(*) AS n FROM (WITH " + LOOSE + " SELECT doc_id FROM tb) GROUP BY doc_id)", "v_md")
+def table_summary(spark: SparkSession, d: str) -> DataFrame:
+    return R.table_summary(md_tables_of(spark, d))[1]
+
+
+@query(f"SELECT {PMID} AS pmid FROM v_pmid WHERE ({REASON}) IS NULL", "v_pmid")
+def valid_pmids(spark: SparkSession, d: str) -> DataFrame:
+    return I.valid_pmids(view(spark, d, "v_pmid"), "raw_pmid")
+
+
+@query()
+def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
+    return I.seeded_sample(table(spark, d, "documents").select("doc_id", "source"), "doc_id", 50, seed=7)

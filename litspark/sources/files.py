@@ -71,3 +71,14 @@ def write_report(row: DataFrame, path: str) -> None:
 def write_table_files(cells: DataFrame, path: str, keys: tuple[str, str] = ("doc_id", "table_index")) -> None:
     """Cells of tables of any columns, in long form, a folder for each document and table."""
     cells.write.mode("overwrite").partitionBy(*keys).csv(path, header=True, escape='"')
+
+
+def writable(spark: SparkSession, path: str) -> bool:
+    """Whether a folder can be made and written to, on any file system that Spark knows."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path, "_litspark_probe")
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        fs.create(fs_path, True).close()
+        return bool(fs.delete(fs_path, False))
+    except Exception:  # noqa: BLE001
+        return False

@@ -187,3 +187,40 @@ def test_quotes_in_tags(spark):
     page = "<META content='https://p/1.pdf' name=citation_pdf_url><a HREF='/doi/pdf/2'>x</a>"
     got = spark.createDataFrame([(page,)], "h string").select(H.find_pdf(F.lit("https://h.org/x/y"), F.col("h"), ("nope", "future_medicine", "generic_citation")).alias("f")).first().f
     assert (got.finder, got.pdf_url) == ("future_medicine", "https://h.org/doi/pdf/2")
+
+
+def test_summaries(spark):
+    rows = spark.createDataFrame([("a", "success", None, 2, 1.005, None), ("b", "ERROR", "m", 0, 2.675, "e")], "pdf string, status string, markdown string, pages_processed int, processing_time double, error string")
+    assert [tuple(r) for r in R.ocr_report(rows).collect()] == [("a", "success", "", 2, 1.0, ""), ("b", "ERROR", "m", 0, 2.68, "e")]
+    assert tuple(R.run_summary(rows).first()) == (2, 1, 1)
+    none = spark.createDataFrame([], "status string, quality_score double, text_length long")
+    assert R.success_means(none).first().avg_quality_score_success == 0.0
+    papers = spark.range(25).select("id", F.when(F.col("id") % 5 == 0, "failed").otherwise("completed").alias("stage"))
+    assert [tuple(r) for r in R.progress(papers, "id").collect()] == [(10, 8, 2), (20, 16, 4)]
+
+
+def test_paths_named_in_decisions(spark):
+    listing = spark.createDataFrame([("/b.pdf",), ("/a.pdf",)], "path string")
+    named = spark.createDataFrame([(" /a.pdf",), ("",), (None,), ("/gone.pdf",)], "PDFPath string")
+    assert [r.path for r in I.existing_paths(listing).collect()] == ["/a.pdf", "/b.pdf"]
+    assert [r.path for r in I.existing_paths(listing, named).collect()] == ["/a.pdf"]
+
+
+def test_lists_are_zipped_to_the_shortest(spark):
+    rows = spark.createDataFrame([(1, ["| a | b |\n| 1 | 2 |", "x"], ["before"], ["after", "z"])], "doc_id long, tables array<string>, infos array<string>, annotations array<string>")
+    assert [tuple(r)[1:] for r in T.zipped_tables(rows).collect()] == [("table_1", "| a | b |\n| 1 | 2 |", "before", "after", 2, 2)]
+
+
+def test_pages_stream_and_fail_apart(spark):
+    def make():
+        def render(r):
+            yield b"1"
+            if r["path"] == "bad":
+                raise ValueError("torn")
+            yield b"2"
+
+        return render
+
+    files = spark.createDataFrame([("good",), ("bad",)], "path string")
+    got = sorted((r.path, r.page_num, bytes(r.image) if r.image else None, r.error) for r in A.explode_pages(files, make, ["path"]).collect())
+    assert got == [("bad", 1, b"1", None), ("bad", 2, None, "ValueError: torn"), ("good", 1, b"1", None), ("good", 2, b"2", None)]

@@ -27,7 +27,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(library.QUERIES))
+@pytest.mark.parametrize("name", sorted(library.SQL))
 def test_query(spark, duck, name):
     df = library.QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
