@@ -44,7 +44,8 @@ SELECT event_id, CAST(30000000 + user_id AS STRING) AS pmid,
 SELECT d.doc_id AS task_id, f.feature, CASE WHEN (d.doc_id * 31 + f.idx * 17) % 7 = 0 THEN 0 ELSE 1 END AS value
 FROM documents d CROSS JOIN (VALUES (0,'rhythm_class_judgement'),(1,'speech_rate_normalization'),(2,'syntactic_parsing'),(3,'lexical_semantics'),(4,'input_audio'),(5,'working_memory/maintenance')) AS f(idx, feature)""",
     "v_concept": r"""
-SELECT CAST(p_partkey AS STRING) AS concept_id, p_partkey AS concept_no, p_name AS name, lower(p_type) || ' ' || lower(p_brand) || ' ' || p_name AS definitions, p_brand AS cognitive_category FROM part WHERE p_partkey <= 200""",
+SELECT CAST(min(p_partkey) AS STRING) AS concept_id, min(p_partkey) AS concept_no, min(p_name) AS name, lower(min(p_type)) || ' ' || lower(p_brand) || ' ' || max(p_name) || ' ' || lower(max(p_type)) AS definitions,
+ p_brand AS cognitive_category FROM part GROUP BY p_brand""",
     "v_link": r"""
 SELECT page_id, url, CASE WHEN page_id % 9 = 8 THEN url || '/paper.PDF' ELSE url END AS landing, html
  || CASE page_id % 8
