@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
+
 #: Turn marks of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings, as first character and rest. ``<|`` covers all of the template's own marks.
@@ -57,63 +59,58 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         F.coalesce(F.col(f"`{parts}`"), F.array().cast(f"array<{PART_TYPE}>")).alias("parts"),
     )
     turns = rows.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(2**62))).alias("t"), "role", "parts"))).alias("turns"))
-    flat = F.flatten(F.transform("turns", lambda t: t["parts"]))
-    media = F.filter(flat, lambda p: F.coalesce(p["type"], F.lit("text")) != "text")
-    turns = turns.withColumn("media", media).withColumn(
-        "before",  # attachments in the turns before each turn
-        F.aggregate(
-            "turns", F.array(F.lit(0)),
-            lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + F.size(F.filter(t["parts"], lambda p: F.coalesce(p["type"], F.lit("text")) != "text")))),
-        ),
-    )
+    is_text = lambda p: F.coalesce(p["type"], F.lit("text")) == "text"
+    turns = turns.withColumn("media", F.filter(F.flatten(F.transform("turns", lambda t: t["parts"])), lambda p: ~is_text(p)))
+    # attachments in the turns before each turn
+    before = F.aggregate(
+        "turns", F.array(F.lit(0)), lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + F.size(F.filter(t["parts"], lambda p: ~is_text(p)))))
+    )
 
     def visit(t: Column, first: Column) -> Column:
         start = F.struct(F.lit("").alias("s"), first.alias("ref"))
 
         def part(acc: Column, p: Column) -> Column:
-            kind = F.coalesce(p["type"], F.lit("text"))
-            mark = F.concat(F.lit("<|"), kind, F.lit(":"), acc["ref"].cast("string"), F.lit("|>"))
-            body = F.when(kind == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)
-            return F.struct(F.concat(acc["s"], body).alias("s"), (acc["ref"] + F.when(kind == "text", 0).otherwise(1)).alias("ref"))
+            mark = F.concat(F.lit("<|"), p["type"], F.lit(":"), acc["ref"].cast("string"), F.lit("|>"))
+            body = F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)
+            return F.struct(F.concat(acc["s"], body).alias("s"), (acc["ref"] + F.when(is_text(p), 0).otherwise(1)).alias("ref"))
 
         return F.aggregate(t["parts"], start, part, lambda acc: acc["s"])
 
-    bodies = F.transform(
-        "turns",
-        lambda t, i: F.struct(
-            t["role"].alias("role"),
-            F.concat(F.lit(START), escape(F.replace(F.replace(t["role"], F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))), F.lit("\n")).alias("head"),
-            visit(t, F.element_at("before", i + 1)).alias("body"),
-        ),
-    )
-    turns = turns.withColumn("bodies", bodies)
+    def marked(t: Column, first: Column) -> Column:
+        name = escape(F.replace(F.replace(t["role"], F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+        return F.struct(t["role"].alias("role"), F.concat(F.lit(START), name, F.lit("\n")).alias("head"), visit(t, first).alias("body"))
+
     tail = f"{END}\n"
-    ends = F.aggregate(
-        "bodies", F.array(F.lit(0)),
-        lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(b["head"]) + F.length(b["body"]) + len(tail))),
-    )
-    turns = turns.withColumn("starts", ends)
-    spans = F.transform(
-        "bodies", lambda b, i: F.struct(b["role"].alias("role"), (F.element_at("starts", i + 1) + F.length(b["head"])).alias("start"), F.length(b["body"]).alias("length"))
-    )
+
+    def whole(bodies: Column) -> Column:
+        text = F.array_join(F.transform(bodies, lambda b: F.concat(b["head"], b["body"], F.lit(tail))), "")
+        ends = F.aggregate(
+            bodies, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(b["head"]) + F.length(b["body"]) + len(tail)))
+        )
+        span = lambda starts: lambda b, i: F.when(
+            b["role"] == "assistant", F.struct((F.element_at(starts, i + 1) + F.length(b["head"])).alias("start"), F.length(b["body"]).alias("length"))
+        )
+        loss = bound(ends, lambda starts: F.array_compact(F.transform(bodies, span(starts))))
+        return F.struct(text.alias("formatted"), loss.alias("loss"))
+
+    # values that later ones are made of are bound, so that none is computed for each turn again
+    made = bound(before, lambda firsts: bound(F.transform("turns", lambda t, i: marked(t, F.element_at(firsts, i + 1))), whole))
+    listed = F.transform("media", lambda p, i: F.struct(i.alias("ref"), p["type"].alias("type"), p["uri"].alias("uri"), part_tokens(p).alias("tokens")))
+    turns = turns.select("conv", made.alias("made"), listed.alias("attachments"))
     return turns.select(
-        F.col("conv").alias(conv),
-        F.array_join(F.transform("bodies", lambda b: F.concat(b["head"], b["body"], F.lit(tail))), "").alias("formatted"),
-        F.transform("media", lambda p, i: F.struct(i.alias("ref"), p["type"].alias("type"), p["uri"].alias("uri"), part_tokens(p).alias("tokens"))).alias("attachments"),
-        F.aggregate("media", F.lit(0).cast("bigint"), lambda acc, p: acc + part_tokens(p)).alias("expanded_tokens"),
-        F.transform(F.filter(spans, lambda s: s["role"] == "assistant"), lambda s: F.struct(s["start"], s["length"])).alias("loss"),
+        F.col("conv").alias(conv), "made.formatted", "attachments", F.aggregate("attachments", F.lit(0).cast("bigint"), lambda acc, x: acc + x["tokens"]).alias("expanded_tokens"), "made.loss"
     )
 
 
 def read_back(formatted: Column) -> Column:
     """The (role, text) of every turn of a formatted conversation, unescaped."""
-    pieces = F.split(formatted, r"<\|im_end\|>\n", -1)
-    pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-
     def turn(x: Column) -> Column:
         body = F.substring(x, len(START) + 1, 2**31 - 1)
-        head = F.substring_index(body, "\n", 1)
+        return bound(body, lambda b: bound(F.substring_index(b, "\n", 1), lambda head: parts(b, head)))
+
+    def parts(body: Column, head: Column) -> Column:
         role = F.regexp_replace(F.regexp_replace(unescape(head), r"(?<!\\)((?:\\\\)*)\\n", "$1\n"), r"\\\\", r"\\")
         return F.struct(role.alias("role"), unescape(F.substring(body, F.length(head) + 2, F.lit(2**31 - 1))).alias("text"))
 
-    return F.transform(pieces, turn)
+    pieces = F.split(formatted, r"<\|im_end\|>\n", -1)
+    return bound(pieces, lambda p: F.transform(F.slice(p, F.lit(1), F.size(p) - 1), turn))
