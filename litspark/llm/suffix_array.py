@@ -185,8 +185,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return induce(s, is_s, lms[order], starts, ends)[1:]
 
 
-def permuted_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each position, the common prefix with the suffix before it in the array, ``most`` at most.
+def permuted_prefixes(text: np.ndarray, sa: np.ndarray, most: int, where: np.ndarray | None = None) -> np.ndarray:
+    """For each position, the common prefix with the suffix before it in the array, ``most`` at most;
+    0 for positions that ``where``, if given, leaves out.
 
     In text order, by way of each position's predecessor; eight bytes are compared at once.
     """
@@ -199,7 +200,7 @@ def permuted_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
     for i in range(8):
         word |= eight[: len(word), 7 - i].astype(np.uint64) << np.uint64(8 * i)
     out = np.zeros(n, np.int32)
-    live = np.flatnonzero(before < n).astype(np.int32)
+    live = np.flatnonzero(before < n if where is None else where & (before < n)).astype(np.int32)
     room = n - np.maximum(np.arange(n, dtype=np.int32), before)  # to the end of the text
     d = 0
     while len(live) and d < most:

@@ -50,9 +50,10 @@ def repeated_in(h: np.ndarray, n: np.ndarray, lead: np.ndarray, bodies: list[byt
     end = np.cumsum(size)
     text = np.frombuffer(bytes([BREAK]).join(bodies) + bytes([BREAK]), np.uint8)
     sa = suffix_array(text)
-    same = permuted_prefixes(text, sa, window)[sa] >= window
-    of = np.repeat(np.arange(len(bodies), dtype=np.int32), size)[sa]
-    fits = end[of] - 1 - sa >= window
+    of = np.repeat(np.arange(len(bodies), dtype=np.int32), size)
+    long = end[of] - 1 - np.arange(len(text)) >= window  # positions that a whole string begins at
+    same = permuted_prefixes(text, sa, window, long)[sa] >= window
+    of, fits = of[sa], long[sa]
     kind = np.cumsum(~same, dtype=np.int64)  # suffixes that begin with the same string are neighbours
     offset = lead[of] - (sa - (end - size)[of])
     ok = np.flatnonzero(fits & (offset >= 0))
