@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litspark.llm.common import prepare, stage, table
+from litspark.llm.common import drop_staged, prepare, stage, staged_mark, table
 from litspark.llm.decontaminate import drop_contaminated
 from litspark.llm.line_dedup import dedup_lines
 from litspark.llm.minhash import drop_near_duplicates
@@ -60,7 +60,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), staged_mark()
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "_"))
+        drop_staged(spark, mark, docs)
     return docs
