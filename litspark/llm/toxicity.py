@@ -84,7 +84,11 @@ class Linear:
 def select(docs: np.ndarray, feats: np.ndarray, positive: np.ndarray, prior: float, most: int, least: int = 4) -> np.ndarray:
     """Features commoner in the positive texts than the prior-corrected share in the others says."""
     n = np.array([max(1, (~positive).sum()), max(1, positive.sum())])
-    df = [np.bincount(feats[positive[docs] == side], minlength=1 << BITS) for side in (False, True)]
+    df = np.zeros((2, 1 << BITS), np.int64)
+    for lo in range(0, len(feats), 1 << 21):  # in parts, for the memory that counting takes
+        own, f = positive[docs[lo : lo + (1 << 21)]], feats[lo : lo + (1 << 21)]
+        for side in (0, 1):
+            df[side] += np.bincount(f[own == side], minlength=1 << BITS)
     p, u = df[1] / n[1], df[0] / n[0]
     neg = np.maximum(u - prior * p, 0) / (1 - prior)  # the others' own share
     sd = np.sqrt(np.maximum(u, 1 / n[0]) / n[0] + p / n[1])
@@ -103,7 +107,7 @@ def nnpu(doc: np.ndarray, feat: np.ndarray, positive: np.ndarray, prior: float,
     chosen = select(doc, feat, positive, prior, most)
     where = np.full(1 << BITS, -1)
     where[chosen] = np.arange(len(chosen))
-    on = where[feat] >= 0
+    on = np.flatnonzero((where >= 0)[feat])
     row, col = doc[on], where[feat[on]]
     n, m = len(positive), len(chosen)
     w, b = np.zeros(m), float(np.log(prior / (1 - prior)))
@@ -126,7 +130,7 @@ def nnpu(doc: np.ndarray, feat: np.ndarray, positive: np.ndarray, prior: float,
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, text: str = "text", key: str = "doc_id", label: str = "toxic",
-                 prior: float | None = None, most_positive: int = 4_000, most_unlabelled: int = 12_000) -> Linear:
+                 prior: float | None = None, most_positive: int = 3_000, most_unlabelled: int = 9_000) -> Linear:
     """Fit on at most ``most_positive`` confirmed toxic rows and ``most_unlabelled`` rows of any kind.
 
     Both samples are taken by hash of the id among rows under ``train`` (a condition on ``key``).
@@ -157,7 +161,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     lists = found["f"].combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     size = np.diff(lists.offsets.to_numpy())
-    return nnpu(np.repeat(np.arange(len(lists)), size), lists.flatten().to_numpy().astype(np.int64), positive, prior)
+    feats = lists.flatten().to_numpy()
+    del found, lists
+    return nnpu(np.repeat(np.arange(len(size), dtype=np.int32), size), feats, positive, prior)
 
 
 def score_toxicity(docs: DataFrame, model: Linear, text: str = "text", keep: list[str] | None = None, out: str = "toxicity_score") -> DataFrame:
