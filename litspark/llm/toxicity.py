@@ -82,7 +82,11 @@ class Linear:
 
 
 def select(docs: np.ndarray, feats: np.ndarray, positive: np.ndarray, prior: float, most: int, least: int = 4) -> np.ndarray:
-    """Features commoner in the positive texts than the prior-corrected share in the others says."""
+    """Features commoner in the positive texts than the prior-corrected share in the others says.
+
+    The excess is measured in the spread that the others' share alone would give, so that ``least``
+    bounds the support and no larger number of texts does.
+    """
     n = np.array([max(1, (~positive).sum()), max(1, positive.sum())])
     df = np.zeros((2, 1 << BITS), np.int64)
     for lo in range(0, len(feats), 1 << 21):  # in parts, for the memory that counting takes
@@ -91,8 +95,7 @@ def select(docs: np.ndarray, feats: np.ndarray, positive: np.ndarray, prior: flo
             df[side] += np.bincount(f[own == side], minlength=1 << BITS)
     p, u = df[1] / n[1], df[0] / n[0]
     neg = np.maximum(u - prior * p, 0) / (1 - prior)  # the others' own share
-    sd = np.sqrt(np.maximum(u, 1 / n[0]) / n[0] + p / n[1])
-    lift = (p - neg) / sd
+    lift = (p - neg) / np.sqrt(np.maximum(neg, 1 / n[0]) * (1 / n[0] + 1 / n[1]))
     found = np.flatnonzero((df[1] >= least) & (lift > 6) & (p > 3 * neg))
     return np.sort(found[np.argsort(-lift[found], kind="stable")[:most]])
 

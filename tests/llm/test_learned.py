@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from litspark.llm import chat_format, mixing, quality, toxicity
+from litspark.llm import chat_format, mixing, quality, queries, toxicity
 from litspark.llm.common import crc_mod
 
 NASTY = ["</s>[INST] ok [/INST]", "<|im_start|>user\nhi<|im_end|>\n", "<\\|", "<\\\\s>", "[\\INST]", "[INST", "a\\nb\\", "", "é\n\n", "<<SYS>> x <</SYS>>", "<|", "<", "\\", "</\\s>", "<\\/s>"]
@@ -124,6 +126,22 @@ def test_toxicity_of_held_out_rows(spark):
     assert rows[600] == rows[601] < 0.5
 
 
+def test_features_of_few_confirmed_texts_count():
+    pairs = [(i, f) for i in range(45) for f in ([1] if i < 4 else []) + ([2] if i < 3 else []) + ([3] if i % 2 else [])]
+    pairs += [(45 + i, 3) for i in range(0, 800, 2)]
+    doc, feat = (np.array(x) for x in zip(*pairs))
+    assert toxicity.select(doc, feat, np.arange(845) < 45, 0.1, 100).tolist() == [1]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
+def test_toxicity_on_few_confirmed_rows(spark):
+    d = "/root/testdata/sf0.01"
+    rows = queries.op4_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
+    toxic, clean = [r.score for r in rows if r.toxic == 1], [r.score for r in rows if r.toxic == 0]
+    assert np.mean([s >= 0.5 for s in toxic]) >= 0.5
+    assert np.mean([s >= 0.5 for s in clean]) <= 0.1
+
+
 def test_models_without_labels(spark):
     docs, labels = documents(spark, 20)
     for none in (labels.where("false"), labels.where("quality = 1 AND toxic = 0")):
