@@ -19,30 +19,54 @@ from ..operators import screening as C
 from ..operators import segment as S
 from ..operators import tables as T
 from . import pipelines as P
-from .views import duck, table, view
+from .views import INSTEAD, duck, table, view
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None, *views: str):
-    """Register a query with its SQL, the views it uses put in front."""
+    """Register a query with its SQL, the views it uses put in front.
+
+    What reads v_md, whose texts end at 1,000 characters, is registered over whole texts too, with
+    ``_whole`` after its name.
+    """
 
     def put(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ctes = ",\n".join(f"{v} AS ({duck(v)})" for v in views)
-            recursive = "RECURSIVE " if "--recursive" in sql else ""
-            body = sql.replace("--recursive", "")
-            body = body.strip()
-            if ctes:
-                body = f"WITH {recursive}{ctes}" + (f",\n{body[5:]}" if body.startswith("WITH ") else f"\n{body}")
-            SQL[f.__name__] = body
+        register(f.__name__, f, sql, views)
+        if "v_md" in views:
+            register(f"{f.__name__}_whole", whole(f), sql, views, {"v_md": "v_md_whole"})
         return f
 
     return put
 
 
+def register(name: str, f, sql: str | None, views: tuple, instead: dict[str, str] = {}) -> None:
+    QUERIES[name] = f
+    if sql is not None:
+        ctes = ",\n".join(f"{v} AS ({duck(instead.get(v, v))})" for v in views)
+        recursive = "RECURSIVE " if "--recursive" in sql else ""
+        body = sql.replace("--recursive", "")
+        body = body.strip()
+        if ctes:
+            body = f"WITH {recursive}{ctes}" + (f",\n{body[5:]}" if body.startswith("WITH ") else f"\n{body}")
+        SQL[name] = body
+
+
+def whole(f):
+    """The query ``f`` with whole texts in its documents."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        before = INSTEAD.set({"v_md": "v_md_whole"})
+        try:
+            return f(spark, d)
+        finally:
+            INSTEAD.reset(before)
+
+    run.__name__ = f"{f.__name__}_whole"
+    return run
+
+
 STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
 

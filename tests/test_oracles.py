@@ -37,3 +37,11 @@ def test_query(spark, duck, name):
     theirs = sorted(repr(plain(tuple(r[names.index(c)] for c in columns))) for r in found.fetchall())
     assert sorted(names) == columns
     assert ours == theirs
+
+
+def test_whole_texts_are_read(spark, duck):
+    rows = library.QUERIES["word_counts_whole"](spark, DATA).collect()
+    least = dict(duck.execute("SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) FROM documents").fetchall())
+    assert len(rows) == len(least) and all(r.n_regex >= least[r.doc_id] - 1 for r in rows)
+    short = {n.removesuffix("_whole") for n in library.SQL if n.endswith("_whole")}
+    assert short >= {n for n, q in library.SQL.items() if "v_md AS (" in q and not n.endswith("_whole")}
