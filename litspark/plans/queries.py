@@ -771,10 +771,14 @@ def assemble_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def screened(spark: SparkSession, d: str) -> DataFrame:
-    """Records with abstracts that a judge, written as an expression, decides on."""
+    """Records with abstracts that a judge, written as an expression, decides on.
+
+    As in their SQL the abstracts are beginnings of texts; in the ``_whole`` queries they are whole.
+    """
     docs = table(spark, d, "documents")
+    begin = lambda n: F.col("text") if INSTEAD.get() else F.left("text", F.lit(n))
     r = F.col("doc_id") % 6
-    abstract = F.when(r == 0, "").when(r < 3, F.concat(F.lit("An fMRI study of language: "), F.left("text", F.lit(50)))).otherwise(F.left("text", F.lit(80)))
+    abstract = F.when(r == 0, "").when(r < 3, F.concat(F.lit("An fMRI study of language: "), begin(50))).otherwise(begin(80))
     rows = C.with_abstract(docs.select(F.col("doc_id").cast("string").alias("pmid"), abstract.alias("abstract"), "doc_id"), docs.where("doc_id % 12 = 0").select(F.col("doc_id").cast("string").alias("pmid"), F.lit("Language and fMRI.").alias("abstract")))
     low = F.lower("abstract")
     hit = low.contains("fmri") & low.contains("language")
@@ -819,6 +823,10 @@ def training_records(spark: SparkSession, d: str) -> DataFrame:
     return out.select("metadata.pmid", "input.abstract", "output.include", "metadata.target_model", "instruction")
 
 
+for f in (screen_decisions, screen_funnel, screen_summary, training_records):
+    register(f"{f.__name__}_whole", whole(f), SQL[f.__name__].replace("left(text, 50)", "text").replace("left(text, 80)", "text"), ())
+
+
 @query("SELECT row_no, raw_pmid FROM v_pmid WHERE raw_pmid NOT IN (SELECT raw_pmid FROM v_pmid WHERE row_no % 10 = 0)", "v_pmid")
 def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
     rows = view(spark, d, "v_pmid").select("row_no", "raw_pmid")
@@ -854,7 +862,7 @@ def finder_first(spark: SparkSession, d: str) -> DataFrame:
     CASE WHEN doc_id % 5 = 1 THEN 'method+topic fit' WHEN doc_id % 5 = 0 THEN 'abstract_unavailable' ELSE 'not in scope' END AS reason FROM documents WHERE doc_id % 7 > 0"""
 )
 def screen_with_model(spark: SparkSession, d: str) -> DataFrame:
-    abstract = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "fMRI of language").otherwise(F.left("text", F.lit(40)))
+    abstract = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "fMRI of language").otherwise(F.col("text"))
     rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("pmid"), F.col("source").alias("title"), abstract.alias("abstract"), "doc_id")
     return P.screen(rows.drop("doc_id"), keyword_judge, done=rows.where("doc_id % 7 = 0")).select("pmid", "include", "confidence", "reason")
 
