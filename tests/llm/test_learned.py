@@ -1,6 +1,7 @@
 """Chat formatting, mixing, the two classifiers and the pipeline."""
 
 import hashlib
+import inspect
 import random
 from pathlib import Path
 
@@ -142,6 +143,11 @@ def test_toxicity_on_few_confirmed_rows(spark):
     assert np.mean([s >= 0.5 for s in clean]) <= 0.1
 
 
+def test_sample_of_toxicity_is_whole():
+    bounds = {k: p.default for k, p in inspect.signature(toxicity.fit_toxicity).parameters.items()}
+    assert bounds["most_positive"] >= 4_000 and bounds["most_unlabelled"] >= 12_000
+
+
 def test_models_without_labels(spark):
     docs, labels = documents(spark, 20)
     for none in (labels.where("false"), labels.where("quality = 1 AND toxic = 0")):
