@@ -26,7 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many share; ``n_chars`` follows the text."""
+    """All documents, without the lines that many share; ``n_chars`` follows the text.
+
+    Exact copies count as documents: a group of ``LINE_DOCUMENTS`` or more loses every line in all its
+    copies, and the blank rows stay in the later stages.
+    """
     out = dedup_lines(docs, min_docs=LINE_DOCUMENTS).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
