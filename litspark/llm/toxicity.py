@@ -29,12 +29,11 @@ def features(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """(document, feature) of every word and beginning in a slice, repeats included; words of each."""
     starts, ends, wo = K.words(buf, off, K.NOT_LETTER)
     doc = np.repeat(np.arange(len(off) - 1), np.diff(wo))
-    c = K.prefix(K.TABLE_FOLDED[buf], K.P_BYTE)
-    docs, feats = [doc], [K.span_hash(c, starts, ends, K.P_BYTE) >> K.U(64 - BITS)]
+    docs, feats = [doc], [K.word_hashes(buf, starts, ends, fold=True) >> K.U(64 - BITS)]
     for k in BEGINNINGS:
         longer = ends - starts > k
         docs.append(doc[longer])
-        feats.append(K.span_hash(c, starts[longer], starts[longer] + k, K.P_BYTE) * K.U(2 * k + 1) >> K.U(64 - BITS))
+        feats.append(K.word_hashes(buf, starts[longer], starts[longer] + k, fold=True) * K.U(2 * k + 1) >> K.U(64 - BITS))
     return np.concatenate(docs), np.concatenate(feats).astype(np.int64), np.diff(wo)
 
 

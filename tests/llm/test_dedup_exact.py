@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from litspark.llm import line_dedup, substring_dedup, suffix_array, suffix_dedup
+from litspark.llm import line_dedup, substring_dedup, suffix_array, suffix_dedup, unitigs, windows
 
 SCHEMA = "doc_id long, text string, drop string, n_words long, th int, x string, k long, n long"
 
@@ -139,3 +139,54 @@ def test_named_by_frame(spark):
     # the text column and the key may have other names
     rows = frame(spark, corpus()).select(F.col("doc_id").alias("id"), F.col("text").alias("body")).limit(5)
     assert substring_dedup.remove_repeats(rows, "id", "body").columns[0] == "id"
+
+
+def test_unitigs_of_branching_and_cyclic_graphs(spark):
+    path = [(i, i + 1) for i in range(40)]  # a path, from which 100 branches off at 20
+    rows = [(a, b, 2) for a, b in path] + [(20, 100, 1), (100, 101, 1)] + [(200 + i, 200 + (i + 1) % 7, 1) for i in range(7)] + [(300, 300, 1), (300, 301, 1), (400, 401, 1), (401, 400, 1)]
+    edges = unitigs.path_edges(spark.createDataFrame(rows, "a long, b long, step int"))
+    got = {r.node: (r.unitig, r.off, r.rank) for r in unitigs.unitigs(edges).collect()}
+    want = {i: (0, 2 * i, i) for i in range(21)} | {i: (21, 2 * (i - 21), i - 21) for i in range(21, 41)} | {100: (100, 0, 0), 101: (100, 1, 1)}
+    want |= {200 + i: (200, i, i) for i in range(7)} | {400: (400, 0, 0), 401: (400, 1, 1)}
+    assert got == want
+    assert unitigs.unitigs(edges.where("false")).count() == 0
+
+
+def test_spans_are_compacted_and_verified(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    long = words(3000)
+    rows = [(1, long), (2, words(40) + long[500:2500] + words(40)), (3, long[2000:] + words(9)), (4, words(30) + long[:700])]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    windows.setup(frame)
+    texts = windows.distinct_texts(frame, "doc_id", "text")
+    places, variants = windows.candidates(texts, windows.Words, 50, 12, across=True)
+    found = substring_dedup.spans(places, substring_dedup.compact(places, variants.cache()), 50).collect()
+    assert len(found) <= 12 and {r.g for r in found} == {1}  # a span for each stretch of the graph, not a row for each k-mer
+    got = {r.doc_id: (r.n_removed, [(s.start, s.length) for s in r.spans]) for r in substring_dedup.remove_repeats(frame).collect()}
+    assert got == {1: (0, []), 2: (2000, [(40, 2000)]), 3: (1000, [(0, 1000)]), 4: (700, [(30, 700)])}
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_regular_words_do_not_collide(spark):
+    """Two different words that any polynomial modulo 2^64 hashes alike."""
+    a = thue_morse(4096)
+    b = a.translate(str.maketrans("ab", "ba"))
+    tail = [f"t{i}" for i in range(49)]
+    frame = spark.createDataFrame([(1, " ".join([a, *tail])), (2, " ".join([b, *tail]))], "doc_id long, text string")
+    assert {r.n_removed for r in substring_dedup.remove_repeats(frame).collect()} == {0}
+
+
+@pytest.mark.parametrize("unit", ["ab", "a", "abc ", "xy z"])
+def test_long_texts_of_a_short_period(spark, unit):
+    texts = [unit * (2_000_000 // len(unit)) + x for x in ("", "1", " end of it")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeated_bytes(frame, keep_bytes=False).collect()}
+    for i, t in enumerate(texts):
+        assert got[i][0] == len(t) and len(t) - len(got) * 10 <= got[i][1] <= len(t)
+    if " " in unit:
+        words = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame, keep_text=False).collect()}
+        assert words[0][1] == 0 and all(words[i][0] - words[i][1] <= 4 for i in (1, 2))
