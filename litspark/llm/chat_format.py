@@ -16,6 +16,8 @@ from ..functions.text import bound
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings, as first character and rest. ``<|`` covers all of the template's own marks.
 CONTROL_REST = r"\||s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\]"
+#: Types that have a placeholder of their own; any other but text is written as ``other``.
+MEDIA = ("image", "audio", "document")
 PART_TYPE = "struct<type:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
 
 
@@ -48,11 +50,14 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
 
     ``parts`` is an array of ``PART_TYPE``. Turns are ordered by (turn, role, content), nulls
     first, so ties and repeated rows have a fixed place and all stay. Null roles and texts are
-    empty; a null or empty array is an empty turn. ``attachments`` lists (ref, type, uri, tokens)
-    in the order of the placeholders ``<|type:ref|>``, ``loss`` the (start, length) in code points
-    of every assistant turn's content inside ``formatted``. An empty table gives no rows; a null
-    conversation id is a conversation. A conversation is one string, so its turns meet in one row;
-    nothing else is gathered. Other columns of ``df`` are ignored.
+    empty; a null or empty array is an empty turn. Text parts that follow one another are escaped as
+    one text, so no control string arises where they meet. ``attachments`` lists (ref, type, uri, tokens)
+    in the order of the placeholders ``<|type:ref|>``; a type other than those of ``MEDIA`` is written
+    ``other`` there (it never enters the string itself) and expands to one token. ``loss`` lists the
+    (start, length) in code points of every text inside ``formatted`` that an assistant says, without the
+    placeholders among it. An empty table gives no rows; a null conversation id is a conversation. A
+    conversation is one string, so its turns meet in one row, however long; nothing else is gathered.
+    Other columns of ``df`` are ignored.
     """
     rows = df.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
@@ -67,18 +72,29 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     )
 
     def visit(t: Column, first: Column) -> Column:
-        start = F.struct(F.lit("").alias("s"), first.alias("ref"))
+        """The turn's string and the (start, length) of its texts; a text waits in ``run`` for the next one."""
+        at = "struct<start:int,length:int>"
+        start = F.struct(F.lit("").alias("s"), F.lit("").alias("run"), first.alias("ref"), F.array().cast(f"array<{at}>").alias("texts"))
+
+        def told(acc: Column, run: Column) -> Column:
+            span = F.struct(F.length(acc["s"]).alias("start"), F.length(run).alias("length"))
+            return F.when(run == "", acc["texts"]).otherwise(F.concat(acc["texts"], F.array(span)))
 
         def part(acc: Column, p: Column) -> Column:
-            mark = F.concat(F.lit("<|"), p["type"], F.lit(":"), acc["ref"].cast("string"), F.lit("|>"))
-            body = F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)
-            return F.struct(F.concat(acc["s"], body).alias("s"), (acc["ref"] + F.when(is_text(p), 0).otherwise(1)).alias("ref"))
+            kind = F.when(p["type"].isin(*MEDIA), p["type"]).otherwise("other")
+            mark = F.concat(F.lit("<|"), kind, F.lit(":"), acc["ref"].cast("string"), F.lit("|>"))
+            longer = F.struct(acc["s"].alias("s"), F.concat(acc["run"], F.coalesce(p["text"], F.lit(""))).alias("run"), acc["ref"].alias("ref"), acc["texts"].alias("texts"))
+            placed = bound(escape(acc["run"]), lambda run: F.struct(F.concat(acc["s"], run, mark).alias("s"), F.lit("").alias("run"), (acc["ref"] + 1).alias("ref"), told(acc, run).alias("texts")))
+            return F.when(is_text(p), longer).otherwise(placed)
+
+        def whole_turn(acc: Column) -> Column:
+            return bound(escape(acc["run"]), lambda run: F.struct(F.concat(acc["s"], run).alias("s"), told(acc, run).alias("texts")))
 
-        return F.aggregate(t["parts"], start, part, lambda acc: acc["s"])
+        return F.aggregate(t["parts"], start, part, whole_turn)
 
     def marked(t: Column, first: Column) -> Column:
         name = escape(F.replace(F.replace(t["role"], F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
-        return F.struct(t["role"].alias("role"), F.concat(F.lit(START), name, F.lit("\n")).alias("head"), visit(t, first).alias("body"))
+        return bound(visit(t, first), lambda v: F.struct(t["role"].alias("role"), F.concat(F.lit(START), name, F.lit("\n")).alias("head"), v["s"].alias("body"), v["texts"].alias("texts")))
 
     tail = f"{END}\n"
 
@@ -87,15 +103,16 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         ends = F.aggregate(
             bodies, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(b["head"]) + F.length(b["body"]) + len(tail)))
         )
-        span = lambda starts: lambda b, i: F.when(
-            b["role"] == "assistant", F.struct((F.element_at(starts, i + 1) + F.length(b["head"])).alias("start"), F.length(b["body"]).alias("length"))
-        )
-        loss = bound(ends, lambda starts: F.array_compact(F.transform(bodies, span(starts))))
-        return F.struct(text.alias("formatted"), loss.alias("loss"))
+
+        def said(starts: Column) -> Column:
+            moved = lambda b, i: F.transform(b["texts"], lambda x: F.struct((F.element_at(starts, i + 1) + F.length(b["head"]) + x["start"]).alias("start"), x["length"].alias("length")))
+            return F.flatten(F.transform(bodies, lambda b, i: F.when(b["role"] == "assistant", moved(b, i)).otherwise(F.array().cast("array<struct<start:int,length:int>>"))))
+
+        return F.struct(text.alias("formatted"), bound(ends, said).alias("loss"))
 
     # values that later ones are made of are bound, so that none is computed for each turn again
     made = bound(before, lambda firsts: bound(F.transform("turns", lambda t, i: marked(t, F.element_at(firsts, i + 1))), whole))
-    listed = F.transform("media", lambda p, i: F.struct(i.alias("ref"), p["type"].alias("type"), p["uri"].alias("uri"), part_tokens(p).alias("tokens")))
+    listed = F.transform("media", lambda p, i: F.struct(i.alias("ref"), F.when(p["type"].isin(*MEDIA), p["type"]).otherwise("other").alias("type"), p["uri"].alias("uri"), part_tokens(p).alias("tokens")))
     turns = turns.select("conv", made.alias("made"), listed.alias("attachments"))
     return turns.select(
         F.col("conv").alias(conv), "made.formatted", "attachments", F.aggregate("attachments", F.lit(0).cast("bigint"), lambda acc, x: acc + x["tokens"]).alias("expanded_tokens"), "made.loss"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from functools import reduce
 
@@ -32,9 +33,13 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset (tests)."""
+    """The folder that ``spark.checkpoint.dir`` names. Only where it is unset and all of Spark is in this
+    process (tests), a temporary one; on a cluster other machines couldn't see that."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = getattr(spark, "_litspark_dir", None) or tempfile.mkdtemp(prefix="litspark-")
         spark._litspark_dir = found
     return found.rstrip("/")
@@ -44,39 +49,45 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at files that outlive any executor, and gives the planner a true size to
-    decide on a broadcast. What the written plan shuffled is no longer referenced afterwards. A
-    few files for each core or every four partitions are enough.
+    decide on a broadcast. What the written plan shuffled is no longer referenced afterwards. Tasks
+    are those of the plan, whose sizes AQE chooses behind a shuffle.
     """
     spark = df.sparkSession
-    df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, partitions(spark) // 4))
     path = f"{shared_dir(spark)}/litspark/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append((path, None))
+    staged().append((path, None))
     out = spark.read.schema(df.schema).parquet(path)
     out._litspark_path = path
     return out
 
 
-#: Paths (and table names) of what this process has staged and not dropped.
-_staged: list[tuple[str, str | None]] = []
+_mine = threading.local()
+
+
+def staged() -> list[tuple[str, str | None]]:
+    """Paths (and table names) of what this thread has staged and not dropped: an operator runs in one
+    thread, so that others' tables are not in its list."""
+    if not hasattr(_mine, "tables"):
+        _mine.tables = []
+    return _mine.tables
 
 
 def staged_mark() -> int:
     """To be given to :func:`drop_staged` later."""
-    return len(_staged)
+    return len(staged())
 
 
 def drop_staged(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
     """Delete what was staged since ``mark``, but for the tables ``keep``. For an operator's end, when
     only these are still to be read."""
-    kept = {df._litspark_path for df in keep}
-    for path, table in _staged[mark:]:
+    kept, tables = {df._litspark_path for df in keep}, staged()
+    for path, table in tables[mark:]:
         if path in kept:
             continue
         if table:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         _delete(spark, path)
-    _staged[mark:] = [(p, t) for p, t in _staged[mark:] if p in kept]
+    tables[mark:] = [(p, t) for p, t in tables[mark:] if p in kept]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -93,7 +104,7 @@ def selective(df: DataFrame, key: str) -> DataFrame:
 def unstage(spark: SparkSession, df: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
     _delete(spark, df._litspark_path)
-    _staged[:] = [x for x in _staged if x[0] != df._litspark_path]
+    staged()[:] = [x for x in staged() if x[0] != df._litspark_path]
 
 
 def release(spark: SparkSession) -> None:
@@ -108,7 +119,7 @@ def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     table = f"litspark_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/litspark/{table}"
     df.repartition(n, key).write.bucketBy(n, key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
-    _staged.append((path, table))
+    staged().append((path, table))
     return spark.table(table)
 
 
@@ -145,19 +156,19 @@ def crc_mod(doc_id: str, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod
 
 
-def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of the undirected ``edges``: a row (node, component) for every node
     that has an edge, component being the smallest node reachable.
 
     Each round hooks every root to the smallest label around its tree and halves the paths, so
-    rounds grow with the logarithm of the nodes. Labels are written to the shared folder each
-    round; nothing but two counts comes to the driver.
+    rounds grow with the logarithm of the nodes; they go on until no label changes. Labels are written to
+    the shared folder each round; nothing but a count comes to the driver.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     both = stage(pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     label = stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")), "labels")
-    for _ in range(most_rounds):
+    while True:
         old = label
         lu = label.select(F.col("node").alias("u"), F.col("component").alias("lu"))
         lv = label.select(F.col("node").alias("v"), F.col("component").alias("lv"))
@@ -172,8 +183,7 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         unstage(spark, hooked)
         unstage(spark, old)
         if not changed:
-            break
-    return label
+            return label
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

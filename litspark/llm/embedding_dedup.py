@@ -18,18 +18,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import components, drop_staged, prepare, stage, staged_mark
 
-#: Home vectors of a group; vectors to a pivot; a row's cells are the bits of a long.
-BLOCK, PER_PIVOT, MOST_PIVOTS = 4096, 4000, 60
+#: Home vectors of a group, at least and at most; vectors to a pivot.
+BLOCK, MOST_BLOCK, PER_PIVOT = 4096, 32768, 4000
+#: A vector meets all pivots, so beyond PER_PIVOT times this many vectors their number grows with the
+#: square root of the vectors' instead: the work of finding cells stays below that of joining them.
+PIVOTS = 256
 
 
 def unit(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors. Scaled by a power of two first, so no square is too great or too small for a double."""
     x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -44,9 +49,7 @@ def usable(vectors: DataFrame, key: str, vector: str, kind: str) -> DataFrame:
                 if not v.is_valid or v.values.null_count or not len(v.values):
                     continue
                 x = v.values.to_numpy(zero_copy_only=False).astype(kind)
-                with np.errstate(over="ignore"):
-                    length = (x.astype(np.float64) ** 2).sum()
-                if np.isfinite(x).all() and np.isfinite(length) and length > 0:
+                if np.isfinite(x).all() and x.any():
                     rows.append((i, len(x), x.tobytes()))
             i, dim, raw = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column("vec").take(pa.array(i, pa.int64())), pa.array(dim, pa.int32()), pa.array(raw, pa.binary())], ["vec", "dim", "raw"])
@@ -56,14 +59,14 @@ def usable(vectors: DataFrame, key: str, vector: str, kind: str) -> DataFrame:
 
 
 def visits(x: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell, and as bits the cells whose boundary is within half the angle (home included)."""
+    """Home cell, and as packed bits the cells whose boundary is within half the angle (home included)."""
     sims = x @ pivots.T
     home = sims.argmax(1)
     apart = np.sqrt(np.maximum(((pivots[:, None] - pivots[None]) ** 2).sum(2), 1e-30))
     margin = (sims[np.arange(len(x)), home][:, None] - sims) / apart[home]
     near = margin <= reach + 1e-9
     near[np.arange(len(x)), home] = True
-    return home.astype(np.int32), (near.astype(np.int64) << np.arange(len(pivots), dtype=np.int64)).sum(1)
+    return home.astype(np.int32), near
 
 
 class Group:
@@ -85,7 +88,8 @@ class Group:
             ok = np.concatenate(close) >= self.threshold
             ok &= part["id"][i] != own["id"][j]
             visitor = part["home"][i] != self.cell
-            back = (own["cells"][j] >> part["home"][i].astype(np.int64)) & 1  # it also visits the visitor's home
+            at = part["home"][i]
+            back = (own["cells"][j, at >> 3] >> (7 - (at & 7))) & 1  # it also visits the visitor's home
             ok &= ~visitor | (back == 0) | (self.cell < part["home"][i])
             i, j, visitor = i[ok], j[ok], visitor[ok]
             if not len(i):
@@ -124,7 +128,8 @@ def join_cells(rows: DataFrame, kind: str, threshold: float) -> DataFrame:
             return Group(int(now[1]), rows, np.concatenate([h[1] for h in held]), threshold)
 
         for b in batches:
-            cols = {k: b.column(k).to_numpy() for k in ("grp", "cell", "role", "id", "home", "cells", "copies")}
+            cols = {k: b.column(k).to_numpy() for k in ("grp", "cell", "role", "id", "home", "copies")}
+            cols["cells"] = np.frombuffer(b"".join(b.column("cells").to_pylist()), np.uint8).reshape(len(b), -1)
             x = unit(b.column("raw").to_pylist(), kind) if len(b) else np.zeros((0, 1))
             cut = np.flatnonzero(np.r_[True, (cols["grp"][1:] != cols["grp"][:-1]) | (cols["role"][1:] != cols["role"][:-1])]) if len(b) else []
             for lo, hi in zip(cut, [*cut[1:], len(b)], strict=True):
@@ -146,25 +151,36 @@ def join_cells(rows: DataFrame, kind: str, threshold: float) -> DataFrame:
     return rows.mapInArrow(work, "is_sum boolean, a long, b long")
 
 
+def vectors_at_once(spark: SparkSession) -> int:
+    """Tasks that the cluster runs side by side."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def link_vectors(classes: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Sums and edges among ``classes`` (id, raw, copies) of one dimension."""
     n = classes.count()
-    k = max(1, min(MOST_PIVOTS, n // PER_PIVOT))
+    k = max(1, n // PER_PIVOT)
+    k = k if k <= PIVOTS else math.isqrt(k * PIVOTS)
     pivots = unit([bytes(r.raw) for r in classes.orderBy(F.xxhash64(F.lit("pivot"), "id")).select("raw").limit(k).collect()], kind)
     reach = math.sqrt((1 - threshold) / 2)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if len(b):
-                home, cells = visits(unit(b.column("raw").to_pylist(), kind), pivots, reach)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home), pa.array(cells)], [*b.schema.names, "home", "cells"])
+                home, near = visits(unit(b.column("raw").to_pylist(), kind), pivots, reach)
+                cut = np.cumsum(near.sum(1))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, cut].astype(np.int32)), pa.array(np.nonzero(near)[1].astype(np.int32)))
+                bits = pa.array([x.tobytes() for x in np.packbits(near, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home), bits, lists], [*b.schema.names, "home", "cells", "visits"])
 
-    placed = stage(classes.mapInArrow(work, "id long, raw binary, copies long, home int, cells long"), "placed")
+    placed = stage(classes.mapInArrow(work, "id long, raw binary, copies long, home int, cells binary, visits array<int>"), "placed")
     sizes = {r.home: r.n for r in placed.groupBy("home").agg(F.count("*").alias("n")).collect()}  # a row per pivot
-    blocks = [max(1, -(-sizes.get(p, 0) // BLOCK)) for p in range(k)]
+    # every visitor goes to each block of its cell, so few and large ones spare copies; but enough for all cores
+    block = min(MOST_BLOCK, max(BLOCK, n // (4 * vectors_at_once(classes.sparkSession))))
+    blocks = [max(1, -(-sizes.get(p, 0) // block)) for p in range(k)]
     spread = F.element_at(F.array(*[F.lit(b) for b in blocks]), F.col("cell") + 1)
     own = F.pmod(F.xxhash64(F.lit("block"), "id"), spread).cast("int")
-    rows = placed.withColumn("cell", F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: F.getbit("cells", c) == 1)))
+    rows = placed.withColumn("cell", F.explode("visits"))
     rows = rows.withColumn("own", F.when(F.col("home") == F.col("cell"), own).otherwise(-1)).withColumn("block", F.explode(F.sequence(F.lit(0), spread - 1)))
     every = rows.select((F.col("cell") * 1_000_000 + F.col("block")).cast("bigint").alias("grp"), "cell", F.lit(1).alias("role"), "id", "home", "cells", "copies", "raw")
     at_home = rows.where("own = block").select((F.col("cell") * 1_000_000 + F.col("block")).cast("bigint").alias("grp"), "cell", F.lit(0).alias("role"), "id", "home", "cells", "copies", "raw")
@@ -176,7 +192,7 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """A row per vector: ``key``, ``n_links``, ``component_id``, ``kept``.
 
     Pairs with a cosine of at least ``threshold`` (above 0), in double precision, are linked, all of
-    them and no others. Vectors that are null, empty or zero, hold null or non-finite components, or
+    them and no others, however great or small their components. Vectors that are null, empty or zero, hold null or non-finite components, or
     have no key link with nothing; vectors of different lengths do not link with one another. Rows
     that repeat a key are vectors of their own. Equal vectors are joined once and counted as often
     as they occur. ``component_id`` is the smallest key reachable, ``kept`` whether that is the own.
@@ -196,6 +212,7 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         sums.append(found.where("is_sum").select(F.col("a").alias("id"), F.col("b").alias("links")))
         edges.append(found.where("NOT is_sum").select("a", "b"))
     if not sums:
+        drop_staged(spark, mark)
         return vectors.select(F.col(f"`{key}`").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col(f"`{key}`").cast("bigint").alias("component_id"), F.lit(True).alias("kept"))
     all_sums, all_edges = sums[0], edges[0]
     for s, e in zip(sums[1:], edges[1:], strict=True):
@@ -211,8 +228,7 @@ def link_embeddings(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     known = good.join(facts, ["raw", "dim"]).select(F.col("vec").alias(key), "n_links", "component_id")
     # the rest: rows that cannot link; a repeated key may have both kinds, so they are found by place
     rest = vectors.select(F.col(f"`{key}`").cast("bigint").alias(key), F.col(f"`{vector}`").alias("v"))
-    x = F.transform("v", lambda c: c.cast("double"))
-    length = F.aggregate(x, F.lit(0.0), lambda acc, c: acc + c * c)
-    fine = F.col(key).isNotNull() & F.col("v").isNotNull() & F.coalesce(length > 0, F.lit(False)) & F.coalesce(length < float("inf"), F.lit(False))
+    finite = F.forall("v", lambda c: F.coalesce(F.abs(c.cast("double")) < float("inf"), F.lit(False)))
+    fine = F.col(key).isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda c: F.coalesce(c != 0, F.lit(False)))
     rest = rest.where(~F.coalesce(fine, F.lit(False))).select(key, F.lit(0).cast("bigint").alias("n_links"), F.col(key).alias("component_id"))
     return known.unionByName(rest).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))

@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import components, drop_staged, lower_ascii, prepare, release, selective, stage, stage_bucketed, staged_mark
+from .common import components, drop_staged, prepare, release, selective, stage, stage_bucketed, staged_mark, text_hash
 
 COORDINATES = 64
 #: Posted coordinates, and how many of them two linked classes share at least: of 20 that agree with
-#: a chance of 0.8 each, fewer than 6 do once in 10^7.
+#: a chance of 0.8 each, fewer than 6 do with a probability of 1.8e-7.
 POSTED, POSTED_SHARED = 20, 6
-#: Matching coordinates of a retained pair: at a similarity of 0.8 fewer do once in 10^6.
-MATCHES = 36
+#: Matching coordinates of a retained pair: of 64 that agree with a chance of 0.8, fewer do with 3.2e-7.
+MATCHES = 34
 #: Classes and shingles of a block; lists of more classes than WIDE are wide.
 BLOCK, BLOCK_SHINGLES, WIDE = 1024, 1 << 20, 64
 
@@ -39,9 +39,12 @@ _MULTIPLY = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * K.U(2) + K.U
 _FLIP = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 
 
-def signatures(h: np.ndarray, so: np.ndarray) -> np.ndarray:
-    """uint32 per document and coordinate; documents without shingles have the largest value."""
+def signatures(h: np.ndarray, so: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per document and coordinate, 32 bits to compare by, and 64 of the posted ones: lists of a 32-bit
+    value would fill up with strangers in a large corpus. Documents without shingles have the
+    largest values."""
     out = np.full((len(so) - 1, COORDINATES), 2**32 - 1, np.uint32)
+    posted = np.full((len(so) - 1, POSTED), 2**64 - 1, np.uint64)
     full = np.flatnonzero(np.diff(so))
     if len(full):
         at = so[:-1][full]
@@ -49,8 +52,11 @@ def signatures(h: np.ndarray, so: np.ndarray) -> np.ndarray:
             x = (h ^ _FLIP[c]) * _MULTIPLY[c]
             x ^= x >> K.U(32)
             x *= _MULTIPLY[c]
-            out[full, c] = np.minimum.reduceat(x >> K.U(32), at)
-    return out
+            least = np.minimum.reduceat(x, at)
+            out[full, c] = least >> K.U(32)
+            if c < POSTED:
+                posted[full, c] = least
+    return out, posted
 
 
 def shingle_sets(column: pa.Array, k: int, gap: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -68,15 +74,23 @@ def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return n, *keys
 
 
+SKETCH = "d long, th binary, n long, k1 long, k2 long, sig binary, posts array<long>"
+
+
 def sketch(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """A row per document: its key and text's digest, its set's size and keys, its signature."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, h, so, sets in shingle_sets(b.column("x"), k, K.SPACE):
                 n, k1, k2 = set_keys(sets)
-                sig = signatures(h, so)
-                yield pa.RecordBatch.from_arrays([b.column("d")[i : i + len(n)].cast(pa.int64()), pa.array(n), pa.array(k1), pa.array(k2), pa.array([x.tobytes() for x in sig], pa.binary())], ["d", "n", "k1", "k2", "sig"])
+                sig, posts = signatures(h, so)
+                posts = pa.FixedSizeListArray.from_arrays(pa.array(posts.view(np.int64).ravel()), POSTED).cast(pa.list_(pa.int64()))
+                own = [b.column(c)[i : i + len(n)] for c in ("d", "th")]
+                yield pa.RecordBatch.from_arrays([own[0].cast(pa.int64()), own[1], pa.array(n), pa.array(k1), pa.array(k2), pa.array([x.tobytes() for x in sig], pa.binary()), posts], ["d", "th", "n", "k1", "k2", "sig", "posts"])
 
-    return docs.select(F.col(f"`{key}`").cast("bigint").alias("d"), F.col(f"`{text}`").alias("x")).mapInArrow(work, "d long, n long, k1 long, k2 long, sig binary")
+    rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("d"), text_hash(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("x"))
+    return rows.mapInArrow(work, SKETCH)
 
 
 def pairs_in(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -280,28 +294,18 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """A row per document: ``key``, ``n_shingles``, ``component_id``, ``kept``, ``same_set``.
-
-    Words are runs of other than space and tab to carriage return, A-Z as a-z. A document's set is
-    its distinct k-word shingles; with fewer words the whole sequence; without words or text it is
-    empty and linked with nothing. Documents with |A and B| >= threshold * |A or B| are linked;
-    ``component_id`` is the smallest key reachable and ``kept`` whether that is the own one.
-    ``same_set`` tells equal sets from others. Keys are integers; rows without one link with
-    nothing and are kept; rows that repeat a key are rows of their own. An empty table gives no
-    rows. Other columns do not matter. A pair at the threshold exactly is missed about once in a
-    million (MinHash); links that are reported are confirmed on the full sets.
-    """
+def grouped(docs: DataFrame, key: str, text: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(d, th, n, k1, k2) of every row, and (k1, k2, n, least, part) of every class of equal sets: the
+    smallest key of its component, and a number for the component."""
     spark = docs.sparkSession
     prepare(spark)
     mark = staged_mark()
     rows = stage(sketch(docs, key, text, k), "sketches")
-    classes = rows.where("n > 0 AND d IS NOT NULL").groupBy("k1", "k2", "n").agg(F.min("d").alias("rep"), F.first("sig").alias("sig"))
+    classes = rows.where("n > 0 AND d IS NOT NULL").groupBy("k1", "k2", "n").agg(F.min("d").alias("rep"), F.first("sig").alias("sig"), F.first("posts").alias("posts"))
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-    value = lambda c: F.conv(F.hex(F.substring("sig", 4 * c + 1, 4)), 16, 10).cast("bigint")
-    posting = classes.select("id", "n", F.posexplode_outer(F.array(*[value(c) for c in range(POSTED)])).alias("coordinate", "value"))
-    posting = posting.select("id", "n", "coordinate", (F.col("value") * POSTED + F.col("coordinate")).alias("key"))
+    posting = classes.select("id", "n", F.posexplode_outer("posts").alias("coordinate", "value"))
+    posting = posting.select("id", "n", "coordinate", F.xxhash64("coordinate", "value").alias("key"))
     lists = stage(posting.groupBy("key").agg(F.count("*").alias("len")).where("len > 1"), "lengths")
     # a class's prefix: its posted coordinates but those of its longest lists, as few as linked
     # classes share at least, less one. Lists of one class are no loss and not counted
@@ -324,26 +328,56 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     labels = components(links, "a", "b")
     reps = classes.select(F.col("id").alias("node"), "rep").join(labels, "node")
     least = reps.groupBy("component").agg(F.min("rep").alias("least"))
-    named = reps.join(least, "component").select(F.col("node").alias("id"), "least")
-    named = stage(classes.select("id", "k1", "k2", "n", "rep").join(named, "id", "left").select("k1", "k2", "n", F.coalesce("least", "rep").alias("least")), "named")
+    named = reps.join(least, "component").select(F.col("node").alias("id"), "least", "component")
+    named = classes.select("id", "k1", "k2", "n", "rep").join(named, "id", "left")
+    named = stage(named.select("k1", "k2", "n", F.coalesce("least", "rep").alias("least"), F.coalesce("component", "id").alias("part")), "named")
     drop_staged(spark, mark, rows, named)
-    out = rows.select("d", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
+    return rows.select("d", "th", "n", "k1", "k2"), named
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """A row per document: ``key``, ``n_shingles``, ``component_id``, ``kept``, ``same_set``.
+
+    Words are runs of other than space and tab to carriage return, A-Z as a-z. A document's set is
+    its distinct k-word shingles; with fewer words the whole sequence; without words or text it is
+    empty and linked with nothing. Documents with |A and B| >= threshold * |A or B| are linked;
+    ``component_id`` is the smallest key reachable and ``kept`` whether that is the own one.
+    ``same_set`` tells equal sets from others. Keys are integers; rows without one link with
+    nothing and are kept; rows that repeat a key are rows of their own. An empty table gives no
+    rows. Other columns do not matter; texts of any length are taken whole, their set in one task.
+
+    A pair at the threshold exactly is missed by MinHash with a probability of about 5e-7 (the two
+    bounds above), a closer one more rarely. Links that are reported are confirmed on the full sets, of
+    shingles by 64-bit hashes modulo a prime: in a pair of sets of 10^4 any two hash alike with 10^-10.
+    """
+    rows, named = grouped(docs, key, text, k, threshold)
+    out = rows.join(named.drop("part"), ["k1", "k2", "n"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("least", "d")).otherwise(F.col("d"))
     component = F.when(F.col("d").isNotNull(), component)
     return out.select(F.col("d").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("d").eqNullSafe(component).alias("kept"), F.struct("k1", "k2", "n").alias("same_set"))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each component of :func:`near_duplicates`: the one of the smallest
-    key. Of rows that repeat a key and, but for case and space, the text, one stays. All columns do."""
-    found = stage(near_duplicates(docs, key, text, k, threshold), "components")
-    gone = found.where(~F.col("kept")).select(key).distinct()
-    kept = docs.join(stage(gone, "gone"), key, "left_anti")
-    twice = found.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").select(key)
-    twice = stage(twice, "repeated_keys")
-    if not twice.limit(1).count():
-        return kept
-    blank = r"[ \t\n\x0B\f\r]+"
-    same = F.md5(lower_ascii(F.btrim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), blank, " "), F.lit(" "))))
-    again = kept.join(twice, key, "left_semi").withColumn("same_words", same).dropDuplicates([key, "same_words"]).drop("same_words")
-    return kept.join(twice, key, "left_anti").unionByName(again)
+    """``docs`` with one row of each component of :func:`near_duplicates`: of the rows of the smallest
+    key, the one whose text has the least digest (repeated rows: any one of them).
+
+    Rows are told apart by key and text, so a key on rows of other texts costs these nothing. Rows without
+    a key, or without words, all stay, as do all columns, whatever their names. An empty table stays
+    empty.
+    """
+    rows, named = grouped(docs, key, text, k, threshold)
+    found = rows.where("n > 0 AND d IS NOT NULL").join(named, ["k1", "k2", "n"])
+    stay = found.where("d = least").groupBy("part").agg(F.min("th").alias("stay"), F.count("*").alias("rows"))
+    # as many (d, th) as there are documents too many, and those that more than one row has
+    gone = found.join(stay, "part").where("d <> least OR th <> stay").select("d", "th").distinct()
+    gone = stage(gone, "gone")
+    same = found.join(stay.where("rows > 1"), "part").where("d = least AND th = stay").groupBy("d", "th").agg(F.count("*").alias("rows")).where("rows > 1")
+    same = stage(same.select("d", "th"), "repeated")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    base = docs.toDF(*names)
+    base = base.withColumn("d", F.col(names[docs.columns.index(key)]).cast("bigint")).withColumn("th", text_hash(names[docs.columns.index(text)]))
+    kept = base.join(gone, ["d", "th"], "left_anti")
+    if same.limit(1).count():
+        once = kept.join(same, ["d", "th"], "left_semi").dropDuplicates(["d", "th"])
+        kept = kept.join(same, ["d", "th"], "left_anti").unionByName(once)
+    return kept.select(*names).toDF(*docs.columns)

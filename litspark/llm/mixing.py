@@ -21,6 +21,8 @@ DIGITS = 13
 
 #: A mean up to which the distribution is inverted as one; greater ones are sums of several.
 CHUNK = 64.0
+#: Copies that one row is exploded to at once.
+RUN = 1 << 14
 
 
 def uniform(seed: Column | str, key: Column) -> Column:
@@ -83,7 +85,10 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: M
     Columns of those names are replaced; all others pass through. Rates are not capped: a rare source
     with a great weight is repeated as often as that takes.
     """
-    docs = docs.drop("mix_copy", "mix_order", "mix_source", "mix_parts", "mix_cdf")
+    names = [c for c in docs.columns if c not in ("mix_copy", "mix_order")]
+    docs = docs.select(*[F.col(f"`{c}`") for c in names])
+    key, source = (f"c{names.index(c)}" for c in (key, source))
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever they are called, they pass
     # written first: where the sources are few, the planner sees it in time to spare the documents
     # a shuffle by source, of which one may have a third
     rates = source_rates(docs, source, weights, alpha, epoch).withColumn("mix_parts", poisson_parts(F.col("mix_rate")))
@@ -91,10 +96,12 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: M
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = docs.withColumn("mix_source", F.coalesce(F.col(f"`{source}`"), F.lit("")))
     n = poisson_count(seed, name, F.col("mix_parts"), F.col("mix_cdf"))
-    copies = bound(n, lambda v: F.when(v > 0, F.sequence(F.lit(0), v - 1)))  # no copies, no row
-    rows = keyed.join(rates, "mix_source").withColumn("mix_copy", F.explode_outer(copies)).where("mix_copy IS NOT NULL")
+    # in two steps, so that no row holds more than a share of its document's copies; no copies, no row
+    firsts = bound(n, lambda v: F.when(v > 0, F.transform(F.sequence(F.lit(0), F.floor((v - 1) / RUN).cast("int")), lambda j: F.struct((j * RUN).alias("lo"), (F.least(v, (j + 1) * RUN) - 1).alias("hi")))))
+    rows = keyed.join(rates, "mix_source").withColumn("mix_run", F.explode_outer(firsts)).where("mix_run IS NOT NULL")
+    rows = rows.withColumn("mix_copy", F.explode(F.sequence("mix_run.lo", "mix_run.hi")))
     order = F.substring(F.md5(F.concat(F.lit(f"{seed}-order:"), name, F.lit(":"), F.col("mix_copy").cast("string")).cast("binary")), 1, 16)
-    rows = rows.withColumn("mix_order", order).drop("mix_source", "mix_parts", "mix_cdf")
+    rows = rows.withColumn("mix_order", order).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "mix_copy", "mix_order")
     if not shuffle:
         return rows
     return rows.repartition(F.col("mix_order")).sortWithinPartitions("mix_order")

@@ -176,8 +176,9 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op10_embedding_dedup"] = r"""
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
-l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+s AS (SELECT vec_id, list_transform(e, lambda x: x / m) AS e FROM (SELECT vec_id, e, list_max(list_transform(e, lambda x: abs(x))) AS m FROM ok)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
 r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a),
 c AS (SELECT a, min(c) AS c FROM r GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM l GROUP BY a)

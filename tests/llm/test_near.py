@@ -73,6 +73,39 @@ def test_rows_that_repeat_and_rows_without_a_key(spark):
     assert minhash.near_duplicates(rows.where("false")).count() == 0
 
 
+def test_a_repeated_key_costs_other_texts_nothing(spark):
+    t = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, t, 0, 1), (5, t + " x", 1, 1), (5, "another text of its own here", 2, 1), (6, t + " y", 3, 1), (6, t + " y", 3, 1)]
+    rows += [(7, "a second group of words that is long enough " + x, 4, 1) for x in ("a b c d e f g h i j k l m n o p q", "a b c d e f g h i j k l m n o p r")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, same_words long, th long")
+    out = minhash.drop_near_duplicates(frame, k=5, threshold=0.7)
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert sorted(r.doc_id for r in got) == [1, 5, 7] and {r.same_words for r in got if r.doc_id == 5} == {2}
+
+
+def test_words_that_hash_alike_in_regular_ways_do_not_link(spark):
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    frame = spark.createDataFrame([(i, " ".join([w, "one two three", w, "four five six", w])) for i, w in enumerate((a, b))], "doc_id long, text string")
+    assert [r.component_id for r in minhash.near_duplicates(frame, k=4).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_recall_just_above_the_threshold(spark):
+    """Pairs of sets with similarities of 0.80 to 0.82, each a component of its own."""
+    rng = random.Random(4)
+    rows, pairs = [], 1500
+    for p in range(pairs):
+        n = rng.randrange(90, 180)
+        words = [f"p{p}w{i}" for i in range(n)]
+        shared = n - 3
+        other = next(m for m in range(1, n) if shared / (shared + m) < 0.8) - 1  # as many more shingles as the threshold allows
+        rows += [(2 * p, " ".join(words)), (2 * p + 1, " ".join(words + [f"p{p}x{i}" for i in range(other)]))]
+        assert 0.8 <= shared / (shared + other) < 0.82
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()}
+    assert sum(got[2 * p + 1] == 2 * p for p in range(pairs)) == pairs
+
+
 def test_repeated_row_stays_once(spark):
     long = " ".join(f"w{i}" for i in range(40))
     rows = spark.createDataFrame([(2, long, "a"), (2, long.upper(), "b"), (3, "x y", "c")], "doc_id long, text string, source string")
@@ -122,6 +155,12 @@ def test_sketches_need_the_whole_share_of_small_items():
     assert 1 <= decontaminate.needed(1000, 60, 0.8) < 48
 
 
+def test_great_and_small_vectors_link(spark):
+    rows = [(1, [1e-200, 2e-200]), (2, [1e-200, 2e-200]), (3, [1e200, 2e200]), (4, [2e200, 4e200]), (5, [5e-324, 0.0]), (6, [1.0, 0.1]), (7, [-1e300, 1e300])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_embeddings(spark, monkeypatch, kind):
     monkeypatch.setattr(embedding_dedup, "PER_PIVOT", 25)
