@@ -150,6 +150,12 @@ def test_containment(spark):
     assert decontaminate.find_contamination(frame.where("false"), bench).count() == 0
 
 
+def test_containment_with_keys_of_one_name(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f g"), (2, None)], "id long, text string")
+    got = decontaminate.find_contamination(rows, rows, key="id", item_key="id").collect()
+    assert [(r.id, r.item_id, r.containment) for r in got] == [(1, 1, 1.0)]
+
+
 def test_sketches_need_the_whole_share_of_small_items():
     assert decontaminate.needed(10, 32, 0.8) == 8
     assert 1 <= decontaminate.needed(1000, 60, 0.8) < 48
