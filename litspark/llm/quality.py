@@ -151,11 +151,11 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: f
 def label_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, text: str, key: str, most: int) -> DataFrame:
     """(text, y) of the labelled rows under ``train``: at most ``most`` of them, by hash of the id.
 
-    The sample's size is the bound that lets it be broadcast.
+    The sample's size is the bound that lets it be broadcast. Of rows that repeat an id, one counts.
     """
     rows = labels.where(train).where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("double").alias("y"))
-    rows = hash_sample(rows, "k", most, "sample")
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("x")).join(F.broadcast(rows), "k").select("k", "x", "y")
+    rows = hash_sample(rows.groupBy("k").agg(F.max("y").alias("y")), "k", most, "sample")
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("x")).join(F.broadcast(rows), "k").groupBy("k", "y").agg(F.min("x").alias("x")).select("k", "x", "y")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train: Column | None = None, text: str = "text", key: str = "doc_id", label: str = "quality", most: int = 20_000) -> Trees:

@@ -145,19 +145,86 @@ def test_toxicity_of_held_out_rows(spark):
 
 
 def test_features_of_few_confirmed_texts_count():
-    pairs = [(i, f) for i in range(45) for f in ([1] if i < 4 else []) + ([2] if i < 3 else []) + ([3] if i % 2 else [])]
+    pairs = [(i, f) for i in range(45) for f in ([1] if i < 2 else []) + ([2] if i < 1 else []) + ([3] if i % 2 else [])]
     pairs += [(45 + i, 3) for i in range(0, 800, 2)]
     doc, feat = (np.array(x) for x in zip(*pairs))
     assert toxicity.select(doc, feat, np.arange(845) < 45, 0.1, 100).tolist() == [1]
 
 
+def auc(score, label):
+    order = np.argsort(score, kind="stable")
+    values, inverse, counts = np.unique(np.asarray(score)[order], return_inverse=True, return_counts=True)
+    rank = (np.cumsum(counts) - (counts - 1) / 2)[inverse]
+    y = np.asarray(label)[order] == 1
+    return (rank[y].sum() - y.sum() * (y.sum() + 1) / 2) / max(1, y.sum() * (~y).sum())
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
-def test_toxicity_on_few_confirmed_rows(spark):
-    d = "/root/testdata/sf0.01"
-    rows = queries.op4_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
-    toxic, clean = [r.score for r in rows if r.toxic == 1], [r.score for r in rows if r.toxic == 0]
-    assert np.mean([s >= 0.5 for s in toxic]) >= 0.5
-    assert np.mean([s >= 0.5 for s in clean]) <= 0.1
+@pytest.mark.parametrize(("name", "label", "sf", "least"), [("op4_toxicity", "toxic", "sf0.01", 0.8), ("op4_toxicity", "toxic", "sf0.1", 0.95), ("op9_quality_classifier", "quality", "sf0.01", 0.97), ("op9_quality_classifier", "quality", "sf0.1", 0.97)])
+def test_held_out_order(spark, name, label, sf, least):
+    d = f"/root/testdata/{sf}"
+    rows = queries.QUERIES[name](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where(f"held_out AND {label} IS NOT NULL").collect()
+    score, y = np.array([r.score for r in rows]), np.array([r[label] for r in rows])
+    print(name, sf, len(rows), auc(score, y), np.mean(score[y == 1] >= 0.5), np.mean(score[y == 0] >= 0.5))
+    assert auc(score, y) >= least
+    if label == "toxic":
+        assert np.mean(score[y == 1] >= 0.5) >= 0.5 and np.mean(score[y == 0] >= 0.5) <= 0.1
+
+
+def test_gradient_of_the_risk():
+    rng = np.random.default_rng(1)
+    z, positive = rng.normal(size=40), rng.random(40) < 0.4
+    first, rest, d_first, d_rest = toxicity.risk(z, positive, 0.3)
+    for i in range(40):
+        up = z.copy()
+        up[i] += 1e-6
+        a, b, *_ = toxicity.risk(up, positive, 0.3)
+        assert abs((a - first) / 1e-6 - d_first[i]) < 1e-5 and abs((b - rest) / 1e-6 - d_rest[i]) < 1e-5
+
+
+def test_trees_against_a_plain_walk():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 6))
+    y = ((x[:, 1] > 0) ^ (x[:, 4] > 0.5)).astype(float)
+    t = quality.boost(x, y, trees=12, depth=3)
+
+    def walk(v):
+        z = t.base
+        for k in range(len(t.feature)):
+            node = 0
+            while t.child[k, node] != node:
+                node = t.child[k, node] + int(v[t.feature[k, node]] > t.threshold[k, node])
+            z += t.value[k, node]
+        return 1 / (1 + np.exp(-z))
+
+    assert np.allclose(t.score(x), [walk(v) for v in x])
+
+
+def test_first_split_is_the_best_one():
+    rng = np.random.default_rng(5)
+    x, ridge, least = rng.integers(0, 9, size=(200, 3)).astype(float), 2.0, 3.0
+    y = (x[:, 1] + rng.normal(size=200) > 4).astype(float)
+    t = quality.boost(x, y, trees=1, depth=1, ridge=ridge, least=least)
+    p = (y.sum() + 1) / 202
+    g, h = p - y, np.full(200, p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + ridge) + g[~m].sum() ** 2 / (h[~m].sum() + ridge)
+    best = max(gain(x[:, j] <= c) for j in range(3) for c in range(9) if min(h[x[:, j] <= c].sum(), h[x[:, j] > c].sum()) >= least)
+    assert np.isclose(gain(x[:, t.feature[0, 0]] <= t.threshold[0, 0]), best)
+
+
+def test_statistics_against_plain_counts():
+    texts = ["One two two THREE!\n\nOne two\nOne two", "", "a", "x " * 30, "É ü\t1,5 $$ #tag"]
+    raw = [t.encode() for t in texts]
+    got = quality.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    name = {c: i for i, c in enumerate(quality.STATISTICS)}
+    for row, t, r in zip(got, texts, raw):
+        w = t.encode().split()
+        assert np.isclose(row[name["log_bytes"]], np.log1p(len(r))) and np.isclose(row[name["log_words"]], np.log1p(len(w)))
+        assert np.isclose(row[name["log_lines"]], np.log(t.count("\n") + 1))
+        assert np.isclose(row[name["word_length"]], np.mean([len(x) for x in w]) if w else 0)
+        assert np.isclose(row[name["distinct"]], len(set(w)) / max(1, len(w)))
+        assert np.isclose(row[name["most_repeats"]], max(map(w.count, w), default=0) / max(1, len(w)))
+        assert np.isclose(row[name["same_as_last"]], sum(a == b for a, b in zip(w, w[1:])) / max(1, len(w)))
 
 
 def test_sample_of_toxicity_is_whole():
