@@ -21,12 +21,13 @@ def line_key(line: Column) -> Column:
     return bound(F.btrim(line, F.lit(BLANK)), lower_ascii)
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1, by_text: bool = False) -> DataFrame:
     """``docs`` with ``text`` rid of frequent lines, plus ``n_lines`` (before) and ``n_dropped``.
 
     A line's key is the line stripped and A-Z lower-cased. Keys of at least ``min_chars`` code
     points found in at least ``min_docs`` documents lose all their lines everywhere. Each row is a
-    document of its own, repeated ids and texts included. A null or empty text is one empty line,
+    document of its own, repeated ids and texts included; with ``by_text``, rows of one text count once, so
+    that a group of exact copies alone makes no line frequent. A null or empty text is one empty line,
     kept as an empty text; texts of any length are handled whole; an empty table gives an empty
     result. Columns of ``docs`` named like the added ones are replaced, others pass through.
     """
@@ -42,7 +43,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     )
     # outer, as no array is empty: else Spark computes them once more to filter empty ones
     mark = staged_mark()
-    counts = hashed.select(F.explode_outer(F.array_distinct("hashes")).alias("h")).where("h is not null")
+    counts = hashed.select(*["th"] * by_text, F.explode_outer(F.array_distinct("hashes")).alias("h")).where("h is not null")
+    counts = counts.distinct() if by_text else counts
     frequent = stage(counts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "lines")
     drops = hashed.select("th", F.posexplode_outer("hashes").alias("pos", "h")).where("h is not null")
     # written first: the join below then has a plain shuffle on both sides, which AQE splits at a

@@ -303,6 +303,31 @@ def test_pipeline_against_its_stages_by_hand(spark, tmp_path):
     assert sorted(map(repr, done.collect())) == sorted(map(repr, docs.collect()))
 
 
+def test_pipeline_on_edge_cases(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(30))
+    names = "doc_id long, text string, lang string, source string, n_chars long, quality_score double, n_lines int, th int, c0 string, d int"
+    row = lambda i, t: (i, t, "en", None if i == 3 else "s", 0, 0.5, 7, 8, "c", 9)
+    texts = [(1, long + "\n one line"), (2, None), (3, ""), (4, "x " * 300_000), (5, "own words of five at least"), (5, "again some other words by themselves"), (None, "no id at all here"), (7, "</s> é \n\n")]
+    rows = [row(*t) for t in texts] + [row(10 + i, long + "\n copied by many") for i in range(15)]
+    docs = spark.createDataFrame(rows, names)
+    spark.createDataFrame([(1, 1, 0), (None, None, None), (99, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, None), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (docs, docs.where("false")):
+        now, first = start, None
+        for name, step in corpus_pipeline.STAGES:
+            now = step(spark, now, str(tmp_path))
+            assert now.columns[: len(docs.columns)] == docs.columns, name
+            if name == "line dedup":
+                assert all(r.text is not None and r.n_chars == len(r.text) for r in now.collect())
+            if name == "MinHash near-dedup" and start is docs:
+                kept = now.collect()
+                # one of the copies, with its text; rows of a repeated id and those without words or an id
+                assert sorted(map(repr, (r.doc_id for r in kept))) == ["1", "2", "3", "4", "5", "5", "7", "None"]
+                assert all(r.text.startswith("w0 w1") for r in kept if r.doc_id == 1)
+                assert {r.n_lines for r in kept} == {7} and {r.quality_score for r in kept} == {0.5}
+        assert now.count() == 0 or start is docs
+
+
 def test_digest_of_the_planted_conversation(spark):
     from litspark.llm import queries
 
