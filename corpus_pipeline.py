@@ -1,4 +1,10 @@
-"""The corpus pipeline: five stages, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages, each written as Parquet and read again by the next.
+
+All stages: a null text is an empty one (line dedup makes it so); rows that repeat an id are documents of
+their own, told apart by their texts; texts are taken whole, however long; an empty table stays empty;
+columns beside those of documents pass through, whatever their names (mixing adds ``mix_copy`` and
+``mix_order`` and replaces columns so named).
+"""
 
 from __future__ import annotations
 
@@ -22,21 +28,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled rows, does not reject."""
     prepare(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, model, out="quality_score").where(F.col("quality_score") >= QUALITY).drop("quality_score")
+    score = max(docs.columns, key=len) + "_score"  # no column of theirs
+    return score_quality(docs, model, out=score).where(F.col(score) >= QUALITY).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many share; ``n_chars`` follows the text.
+    """All documents, without the lines that many share; ``n_chars``, if there, follows the text.
 
-    Exact copies count as documents: a group of ``LINE_DOCUMENTS`` or more loses every line in all its
-    copies, and the blank rows stay in the later stages.
+    Exact copies count as one document here, as near-dedup comes behind: else a group of
+    ``LINE_DOCUMENTS`` copies would lose all its text before one of them could stay.
     """
-    out = dedup_lines(docs, min_docs=LINE_DOCUMENTS).select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    names = docs.columns
+    inner = [f"c{i}" for i in range(len(names))]
+    text = inner[names.index("text")]
+    out = dedup_lines(docs.toDF(*inner), text=text, min_docs=LINE_DOCUMENTS, by_text=True).select(*inner)
+    if "n_chars" in names:
+        out = out.withColumn(inner[names.index("n_chars")], F.length(text).cast(docs.schema["n_chars"].dataType))
+    return out.toDF(*names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, on five-word shingles at a similarity of 0.8."""
+    """One document of each group of near copies, on five-word shingles at a similarity of 0.8.
+    Documents without words are no copies of one another and stay."""
     return drop_near_duplicates(docs, k=5, threshold=0.8)
 
 
