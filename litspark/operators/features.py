@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..adapters import call
 from ..functions.text import strip
+from ..shared import running
 from .ontology import closure, merge_features, normalize_flag, schema_leaves
 
 KINDS = ("representational", "processing", "design")
@@ -19,8 +20,8 @@ CONTEXT = 2000
 
 def paper_ids(papers: DataFrame, order: str) -> DataFrame:
     """Papers without an id are named by their place."""
-    n = F.row_number().over(Window.orderBy(order))
-    return papers.withColumn("task_id", F.coalesce("task_id", F.concat(F.lit("paper_"), n.cast("string"))))
+    rows = running(papers, order, paper_place=F.lit(1))
+    return rows.withColumn("task_id", F.coalesce("task_id", F.concat(F.lit("paper_"), F.col("paper_place").cast("string")))).drop("paper_place")
 
 
 def ask(papers: DataFrame, make: Callable[[], Callable[[dict], str | None]], kind: str) -> DataFrame:

@@ -66,7 +66,7 @@ def direct_pdf(url: Column, html: Column, content_type: Column | None = None) ->
     return F.when(kind | F.lower(url).endswith(".pdf"), url)
 
 
-#: Finders by name. ``science_direct``, which asks further pages, is missing (it belongs into an adapter).
+#: Finders by name. ``science_direct``, which asks further pages, is an adapter (``adapters.science_direct``).
 FINDERS = {
     "generic_citation": generic_citation, "pubmed_central": pubmed_central, "acs": acs, "nejm": nejm, "future_medicine": future_medicine, "uchicago_press": uchicago_press, "direct_pdf": direct_pdf,
 }

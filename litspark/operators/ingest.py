@@ -48,7 +48,8 @@ def export_rows(found: DataFrame) -> DataFrame:
 def mark_duplicates(rows: DataFrame, order: str = "row_no", pmid: str = "raw_pmid") -> DataFrame:
     """Adds ``pmid`` (stripped), ``reason`` (null if valid) and ``occurrence`` among the valid."""
     out = rows.withColumn("pmid", strip(F.col(pmid))).withColumn("reason", pmid_reason(F.col(pmid)))
-    n = F.row_number().over(Window.partitionBy("pmid", F.col("reason").isNull()).orderBy(order))
+    apart = F.when(F.col("reason").isNotNull(), F.col(order))  # what is invalid has no occurrence and needs no company
+    n = F.row_number().over(Window.partitionBy("pmid", apart).orderBy(order))
     return out.withColumn("occurrence", F.when(F.col("reason").isNull(), n))
 
 
@@ -98,18 +99,21 @@ def sample_records(spark: SparkSession, n: int = 10) -> DataFrame:
     )
 
 
-def check_columns(rows: DataFrame, required: tuple[str, ...], pmid: str = "PMID") -> DataFrame:
-    """One row: required columns that are missing, number of rows, and the first five bad identifiers."""
+def check_columns(rows: DataFrame, required: tuple[str, ...], pmid: str = "PMID", order: str = "row_no") -> DataFrame:
+    """One row: required columns that are missing, number of rows, and the first five bad identifiers, in
+    the order of ``order`` (that of the rows as they are read, without such a column)."""
     missing = F.array(*[F.lit(c) for c in required if c not in rows.columns]).cast("array<string>")
     if pmid not in rows.columns:
         return rows.agg(F.count("*").alias("total_rows")).select("total_rows", missing.alias("missing_columns"), F.array().cast("array<string>").alias("bad_pmids"))
-    bad = F.when(F.col(pmid).isNotNull() & ~valid_pmid(F.col(pmid)), F.col(pmid))
-    return rows.agg(F.count("*").alias("total_rows"), F.slice(F.array_sort(F.collect_set(bad)), 1, 5).alias("bad_pmids")).select("total_rows", missing.alias("missing_columns"), "bad_pmids")
+    place = F.col(order) if order in rows.columns else F.monotonically_increasing_id()
+    bad = rows.where(F.col(pmid).isNotNull() & ~valid_pmid(F.col(pmid))).select(place.alias("place"), F.col(pmid).alias("bad")).orderBy("place").limit(5)
+    bad = bad.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "bad"))), lambda x: x["bad"])).scalar()
+    return rows.agg(F.count("*").alias("total_rows")).select("total_rows", missing.alias("missing_columns"), bad.alias("bad_pmids"))
 
 
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows by hash of key and seed: the same ones on any cluster."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    """``n`` rows by md5 of seed and key: the same ones on any cluster."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
 def valid_pmids(rows: DataFrame, pmid: str = "PMID") -> DataFrame:

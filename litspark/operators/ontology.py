@@ -120,13 +120,17 @@ def flat_features(closed: DataFrame, task: str = "task_id") -> DataFrame:
     return closed.groupBy(task).pivot("feature", NODES).agg(F.min("value"))
 
 
+#: Characters by which texts and terms are joined.
+GRAM = 4
+
+
 def concept_scores(texts: DataFrame, concepts: DataFrame, key: str = "text_id", text: str = "text") -> DataFrame:
     """(key, concept_id, relevance_score) above 0: 2 if the name is in the text, 1 for each word of
     the name of over three letters that is, 0.5 for each word that text and definitions share; 10 at
     most.
 
-    Shared words meet by an equi-join; only the distinct terms, not the concepts, are looked for in
-    each text.
+    Shared words meet by an equi-join. So do texts and the terms that may be in them: by a term's first
+    four characters (all of a shorter one) among the text's runs of so many, which the text then confirms.
     """
     own = texts.select(key, F.lower(text).alias("low"))
     named = concepts.select("concept_id", F.lower("name").alias("name"), F.lower("definitions").alias("defs"))
@@ -134,8 +138,15 @@ def concept_scores(texts: DataFrame, concepts: DataFrame, key: str = "text_id",
     shared = shared.groupBy(key, "concept_id").agg((F.count("*") * 0.5).alias("points"))
     words = named.select("concept_id", F.explode(tokens("name")).alias("term")).where(F.length("term") > 3).withColumn("points", F.lit(1.0))
     terms = words.unionAll(named.select("concept_id", F.col("name").alias("term"), F.lit(2.0).alias("points"))).groupBy("concept_id", "term").agg(F.sum("points").alias("points"))
-    vocabulary = terms.agg(F.array_sort(F.collect_set("term"))).scalar()
-    held = own.withColumn("terms", vocabulary).select(key, F.explode(F.filter("terms", lambda t: F.col("low").contains(t))).alias("term")).join(terms, "term").select(key, "concept_id", "points")
+    begun = terms.where("term IS NOT NULL").select("term", F.left("term", F.lit(GRAM)).alias("gram")).distinct()
+    sizes = [r.n for r in begun.select(F.length("gram").alias("n")).distinct().collect()]  # GRAM + 1 at most
+
+    def runs(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length("low") - (n - 1), F.lit(1))), lambda i: F.substring("low", i, F.lit(n)))
+
+    grams = F.array_distinct(F.flatten(F.array(*[runs(n) for n in sizes]))) if sizes else F.array(F.lit(""))
+    near = own.select(key, F.explode(grams).alias("gram")).join(begun, "gram").select(key, "term")
+    held = own.join(near, key).where(F.col("low").contains(F.col("term"))).select(key, "term").join(terms, "term").select(key, "concept_id", "points")
     return shared.unionByName(held).groupBy(key, "concept_id").agg(F.least(F.sum("points"), F.lit(10.0)).alias("relevance_score"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import detect_language, ocr_quality, strip
+from ..shared import running
 
 STATUSES = ("success", "failed", "skipped", "error")
 
@@ -155,12 +156,11 @@ def table_summary(tables: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
 
 
 def progress(papers: DataFrame, order: str, every: int = 10, stage: str = "stage") -> DataFrame:
-    """Running numbers of completed and failed papers at every ``every``-th one. For monitoring a batch:
-    the window is over the whole of it."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    count = lambda s: F.sum((F.col(stage) == s).cast("int")).over(w)
-    rows = papers.select(F.row_number().over(Window.orderBy(order)).alias("done"), count("completed").alias("completed"), count("failed").alias("failed"))
-    return rows.where(F.col("done") % every == 0)
+    """Running numbers of completed and failed papers at every ``every``-th one."""
+    is_ = lambda s: (F.col("its_stage") == s).cast("int")
+    rows = papers.select(F.col(order).alias("its_place"), F.col(stage).alias("its_stage"))
+    rows = running(rows, "its_place", done=F.lit(1), completed=is_("completed"), failed=is_("failed"))
+    return rows.where(F.col("done") % every == 0).select("done", "completed", "failed").orderBy("done")
 
 
 def markdown_stats(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:

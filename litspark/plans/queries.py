@@ -19,54 +19,29 @@ from ..operators import screening as C
 from ..operators import segment as S
 from ..operators import tables as T
 from . import pipelines as P
-from .views import INSTEAD, duck, table, view
+from .views import duck, table, view
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None, *views: str):
-    """Register a query with its SQL, the views it uses put in front.
-
-    What reads v_md, whose texts end at 1,000 characters, is registered over whole texts too, with
-    ``_whole`` after its name.
-    """
+    """Register a query with its SQL, the views it uses put in front."""
 
     def put(f):
-        register(f.__name__, f, sql, views)
-        if "v_md" in views:
-            register(f"{f.__name__}_whole", whole(f), sql, views, {"v_md": "v_md_whole"})
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ctes = ",\n".join(f"{v} AS ({duck(v)})" for v in views)
+            recursive = "RECURSIVE " if "--recursive" in sql else ""
+            body = sql.replace("--recursive", "").strip()
+            if ctes:
+                body = f"WITH {recursive}{ctes}" + (f",\n{body[5:]}" if body.startswith("WITH ") else f"\n{body}")
+            SQL[f.__name__] = body
         return f
 
     return put
 
 
-def register(name: str, f, sql: str | None, views: tuple, instead: dict[str, str] = {}) -> None:
-    QUERIES[name] = f
-    if sql is not None:
-        ctes = ",\n".join(f"{v} AS ({duck(instead.get(v, v))})" for v in views)
-        recursive = "RECURSIVE " if "--recursive" in sql else ""
-        body = sql.replace("--recursive", "")
-        body = body.strip()
-        if ctes:
-            body = f"WITH {recursive}{ctes}" + (f",\n{body[5:]}" if body.startswith("WITH ") else f"\n{body}")
-        SQL[name] = body
-
-
-def whole(f):
-    """The query ``f`` with whole texts in its documents."""
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        before = INSTEAD.set({"v_md": "v_md_whole"})
-        try:
-            return f(spark, d)
-        finally:
-            INSTEAD.reset(before)
-
-    run.__name__ = f"{f.__name__}_whole"
-    return run
-
-
 STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
 
@@ -771,14 +746,10 @@ def assemble_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def screened(spark: SparkSession, d: str) -> DataFrame:
-    """Records with abstracts that a judge, written as an expression, decides on.
-
-    As in their SQL the abstracts are beginnings of texts; in the ``_whole`` queries they are whole.
-    """
+    """Records with abstracts, whole texts, that a judge, written as an expression, decides on."""
     docs = table(spark, d, "documents")
-    begin = lambda n: F.col("text") if INSTEAD.get() else F.left("text", F.lit(n))
     r = F.col("doc_id") % 6
-    abstract = F.when(r == 0, "").when(r < 3, F.concat(F.lit("An fMRI study of language: "), begin(50))).otherwise(begin(80))
+    abstract = F.when(r == 0, "").when(r < 3, F.concat(F.lit("An fMRI study of language: "), F.col("text"))).otherwise(F.col("text"))
     rows = C.with_abstract(docs.select(F.col("doc_id").cast("string").alias("pmid"), abstract.alias("abstract"), "doc_id"), docs.where("doc_id % 12 = 0").select(F.col("doc_id").cast("string").alias("pmid"), F.lit("Language and fMRI.").alias("abstract")))
     low = F.lower("abstract")
     hit = low.contains("fmri") & low.contains("language")
@@ -787,7 +758,7 @@ def screened(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(judged, "pmid", "left")
 
 
-_ABSTRACT = """a AS (SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN 'Language and fMRI.' WHEN doc_id % 6 = 0 THEN NULL WHEN doc_id % 6 < 3 THEN 'An fMRI study of language: ' || left(text, 50) ELSE left(text, 80) END AS abstract FROM documents),
+_ABSTRACT = """a AS (SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN 'Language and fMRI.' WHEN doc_id % 6 = 0 THEN NULL WHEN doc_id % 6 < 3 THEN 'An fMRI study of language: ' || text ELSE text END AS abstract FROM documents),
 j AS (SELECT *, contains(lower(abstract), 'fmri') AND contains(lower(abstract), 'language') AS hit FROM a)"""
 
 
@@ -823,10 +794,6 @@ def training_records(spark: SparkSession, d: str) -> DataFrame:
     return out.select("metadata.pmid", "input.abstract", "output.include", "metadata.target_model", "instruction")
 
 
-for f in (screen_decisions, screen_funnel, screen_summary, training_records):
-    register(f"{f.__name__}_whole", whole(f), SQL[f.__name__].replace("left(text, 50)", "text").replace("left(text, 80)", "text"), ())
-
-
 @query("SELECT row_no, raw_pmid FROM v_pmid WHERE raw_pmid NOT IN (SELECT raw_pmid FROM v_pmid WHERE row_no % 10 = 0)", "v_pmid")
 def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
     rows = view(spark, d, "v_pmid").select("row_no", "raw_pmid")
@@ -954,6 +921,9 @@ def valid_pmids(spark: SparkSession, d: str) -> DataFrame:
     return I.valid_pmids(view(spark, d, "v_pmid"), "raw_pmid")
 
 
-@query()
+@query("SELECT doc_id, source FROM documents ORDER BY md5('7:' || doc_id::VARCHAR), doc_id LIMIT 50")
 def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return I.seeded_sample(table(spark, d, "documents").select("doc_id", "source"), "doc_id", 50, seed=7)
+
+
+from . import boundary_queries  # noqa: E402,F401  registers its queries too

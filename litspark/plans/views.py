@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextvars import ContextVar
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -23,7 +21,7 @@ SELECT doc_id, lang, source,
  || (CASE WHEN doc_id % 6 = 1 THEN '<table><tr><td>x</td>' || chr(10) || '# not a heading' || chr(10) || '</tr></table>' || chr(10) ELSE '' END)
  || (CASE WHEN doc_id % 6 = 2 THEN '| r | x | y | z |' || chr(10) || '|---|---|---|---|' || chr(10) || '| L |  | 2 | 3 |' || chr(10) || chr(10) || '| R | 4 | 5 | 6 |' || chr(10)
        || '## Page 2' || chr(10) || '## FAILED Page 3 - OCR FAILED' || chr(10) ELSE '' END)
- || '## Results' || chr(10) || substring(text, 501, 300) || chr(10) || '## Discussion' || chr(10) || substring(text, 801, 200) || chr(10)
+ || '## Results' || chr(10) || substring(text, 501, 300) || chr(10) || '## Discussion' || chr(10) || substring(text, 801) || chr(10)
  || '## References' || chr(10) || '[1] Ref' || chr(10)
  || (CASE WHEN doc_id % 6 = 4 THEN '<table><tr><td>open' || chr(10) || '## Funding' || chr(10) ELSE '' END) AS md
 FROM documents""",
@@ -60,10 +58,6 @@ SELECT page_id, url, CASE WHEN page_id % 9 = 8 THEN url || '/paper.PDF' ELSE url
   WHEN 6 THEN '<a href="https://j.edu/doi/pdf' || CAST(page_id AS STRING) || '">get</a>'
   ELSE '<a href="/epdf/' || CAST(page_id AS STRING) || '">PDF</a>' END AS page FROM pages""",
 }
-#: The same documents with all of their text: Discussion goes on to the end.
-VIEWS["v_md_whole"] = VIEWS["v_md"].replace("substring(text, 801, 200)", "substring(text, 801)")
-#: What view() reads in place of a view while a query over whole texts is made.
-INSTEAD: ContextVar[dict[str, str]] = ContextVar("INSTEAD", default={})
 
 CELL = "'| ' || CAST(l_linenumber AS STRING) || ' | ' || CAST(l_partkey AS STRING) || ' | ' || CASE WHEN l_partkey % 9 = 0 THEN '' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END || ' |'"
 _HEAD = "'| line | part | qty |' || chr(10) || '|---|---|---|' || chr(10) || "
@@ -77,7 +71,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input as a DataFrame; no temporary view stays behind."""
-    name = INSTEAD.get().get(name, name)
     sql = MDTAB_SPARK if name == "v_mdtab" else VIEWS[name]
     used = [t for t in TABLES if f"FROM {t}" in sql]
     for t in used:

@@ -42,5 +42,6 @@ def segment_arrivals(spark: SparkSession, folder: str, out: str, checkpoint: str
     """Segment Markdown files as they arrive. Its windows are by document, not by time, so they run on
     each batch."""
     rows = spark.readStream.format("text").schema("value string").option("wholetext", True).option("pathGlobFilter", "*.md").load(folder)
-    docs = rows.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "").alias("doc_id"), F.col("value").alias("md"))
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # a stream has it as in an address
+    docs = rows.select(F.regexp_replace(name, r"\.md$", "").alias("doc_id"), F.col("value").alias("md"))
     return process_once(docs, lambda df: segment(df), out, checkpoint, key="doc_id")

@@ -26,4 +26,4 @@ def test_without_the_subpackage(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
     n, m, found = out.stdout.split()
-    assert int(n) - int(m) == 1 and int(n) > 70 and found == "False"
+    assert int(n) == int(m) > 100 and found == "False"

@@ -40,18 +40,16 @@ def test_query(spark, duck, name):
 
 
 def test_whole_texts_are_read(spark, duck):
-    rows = library.QUERIES["word_counts_whole"](spark, DATA).collect()
+    rows = library.QUERIES["word_counts"](spark, DATA).collect()
     least = dict(duck.execute("SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) FROM documents").fetchall())
     assert len(rows) == len(least) and all(r.n_regex >= least[r.doc_id] - 1 for r in rows)
-    short = {n.removesuffix("_whole") for n in library.SQL if n.endswith("_whole")}
-    assert short >= {n for n, q in library.SQL.items() if "v_md AS (" in q and not n.endswith("_whole")}
 
 
 def test_screening_reads_whole_abstracts(spark, tmp_path):
     text = "a " * 500 + "fMRI of language"
     spark.createDataFrame([(3, text, "s"), (9, "a " * 500, "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    for name in ("screen_decisions_whole", "screen_with_model"):
+    for name in ("screen_decisions", "screen_with_model"):
         assert {r.pmid: r.include for r in library.QUERIES[name](spark, str(tmp_path)).collect()} == {"3": True, "9": False}, name
-    assert {r.pmid: r.abstract for r in library.QUERIES["training_records_whole"](spark, str(tmp_path)).collect()}["3"] == text
-    assert library.QUERIES["screen_funnel_whole"](spark, str(tmp_path)).first().included == 1
-    assert library.QUERIES["screen_summary_whole"](spark, str(tmp_path)).first().included == 1
+    assert {r.pmid: r.abstract for r in library.QUERIES["training_records"](spark, str(tmp_path)).collect()}["3"] == text
+    assert library.QUERIES["screen_funnel"](spark, str(tmp_path)).first().included == 1
+    assert library.QUERIES["screen_summary"](spark, str(tmp_path)).first().included == 1
