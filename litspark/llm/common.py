@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 from functools import reduce
@@ -10,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import new_path, shared_dir
 from ..shipping import send_package
 
 #: Rows handed to a Python worker at once; documents can be long, so fewer than Spark's default.
@@ -32,19 +32,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Only where it is unset and all of Spark is in this
-    process (tests), a temporary one; on a cluster other machines couldn't see that."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = getattr(spark, "_litspark_dir", None) or tempfile.mkdtemp(prefix="litspark-")
-        spark._litspark_dir = found
-    return found.rstrip("/")
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -53,7 +40,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     are those of the plan, whose sizes AQE chooses behind a shuffle.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/litspark/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     staged().append((path, None))
     out = spark.read.schema(df.schema).parquet(path)
