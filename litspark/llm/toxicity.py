@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,7 +213,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
 def listed(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of a column of feature lists."""
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    size = pa.compute.list_value_length(lists).to_numpy()
+    size = pc.list_value_length(lists).to_numpy()
     return np.repeat(np.arange(len(size), dtype=np.int32), size), lists.flatten().to_numpy()
 
 
