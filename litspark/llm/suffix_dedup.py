@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ def shard_verdicts(rows: DataFrame, window: int) -> DataFrame:
                     yield flush(pa.Table.from_batches([*held, b.slice(0, first)]))
                     held, size, b = [], 0, b.slice(first)
             held.append(b)
-            size += pa.compute.sum(pa.compute.binary_length(b.column("body"))).as_py()
+            size += pc.sum(pc.binary_length(b.column("body"))).as_py()
         if held:
             yield flush(pa.Table.from_batches(held))
 

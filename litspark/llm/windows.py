@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,7 +193,7 @@ def bundles(texts: DataFrame, variants: DataFrame, facts: list[str], work) -> Da
 def spots_of(column: pa.Array, i: int, j: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Document in the slice, and the fields, of the structs listed in rows i to j."""
     part = column.slice(i, j - i)
-    size = pa.compute.list_value_length(part).to_numpy()
+    size = pc.list_value_length(part).to_numpy()
     flat = part.flatten()
     return np.repeat(np.arange(j - i), size), {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
 
@@ -259,7 +260,7 @@ def covered(marks: pa.StructArray | None, n: int, window: int, m: int) -> np.nda
     some = marks.field("some").fill_null([])
     flat = some.flatten()
     if len(flat):
-        of = np.repeat(np.arange(len(pos)), pa.compute.list_value_length(some).to_numpy())
+        of = np.repeat(np.arange(len(pos)), pc.list_value_length(some).to_numpy())
         of, hi, lo = (x[flat.field("g").to_numpy() < m] for x in (of, flat.field("hi").to_numpy(), flat.field("lo").to_numpy()))
         each = times[of]  # once for every time that the bundle stands there
         turn = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
