@@ -9,8 +9,10 @@
 4. Retained pairs are confirmed on the full shingle sets; links give connected components.
 
 A wide list does not send its pairs, whose number grows with the square of a group of copies. It
-sends the classes that have a retained pair; their sets are dealt to the list's blocks, every two of
-which a task compares exactly, and a spanning set of the links comes back: all that components need.
+sends the classes that have a retained pair; a task compares the sets of a block of them exactly,
+and a spanning set of the links comes back: all that components need. Blocks first meet by way of one class,
+the list's leader, which is in each. Then the classes not yet in the leader's component meet all
+blocks; those in it need not meet one another.
 """
 
 from __future__ import annotations
@@ -243,16 +245,39 @@ def link_cells(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.mapInArrow(work, "a long, b long")
 
 
+def blocks(length, weight):
+    return F.greatest(F.ceil(length / BLOCK), F.ceil(weight / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+def block_of(n):
+    return F.pmod(F.xxhash64(F.lit("block"), "id"), n).cast("int")
+
+
+CELL = ("id", "n", "sig", "posted", "coordinate", "wide")
+
+
 def deal(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Cells of the posting lists: lists of at most a block are one; of longer ones, every two of
-    their blocks meet in a cell of their own."""
-    blocks = F.greatest(F.ceil(F.col("len") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES))
+    """Cells of the posting lists (.., len, weight, leader): lists of at most a block are one; a longer
+    one has a cell for each of its blocks, and its leader is in them all."""
     rows = lists.join(classes.select("id", "sig"), "id").withColumn("wide", F.col("len") > WIDE)
-    rows = rows.withColumn("nb", F.when(F.col("wide"), blocks).otherwise(1).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.withColumn("nb", F.when(F.col("wide"), blocks(F.col("len"), F.col("weight"))).otherwise(1))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("id").eqNullSafe(F.col("leader")), F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array(block_of(F.col("nb"))))))
+    return rows.select(F.xxhash64("key", "at").alias("cell"), F.lit(2).alias("side"), *CELL)
+
+
+def deal_rest(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """Cells of what is left of the longer lists (.., covered): every two blocks meet in a cell, but for
+    two of covered classes, which all are in the leader's component already."""
+    count = lambda c, x: F.sum(F.when(c, F.col(x) if x else 1).otherwise(0))
+    on, off = F.col("covered"), ~F.col("covered")
+    size = lists.groupBy("key").agg(count(off, None).alias("nu"), count(off, "n").alias("wu"), count(on, None).alias("nc"), count(on, "n").alias("wc")).where("nu > 0")
+    rows = lists.join(size, "key").join(classes.select("id", "sig"), "id")
+    rows = rows.withColumn("bu", blocks(F.col("nu"), F.col("wu"))).withColumn("bc", blocks(F.col("nc"), F.col("wc")))
+    rows = rows.withColumn("own", F.when(on, F.col("bu") + block_of(F.col("bc"))).otherwise(block_of(F.col("bu"))))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("bu") - 1 + F.when(on, 0).otherwise(F.col("bc")))))
     lo, hi = F.least("own", "with"), F.greatest("own", "with")
-    return rows.select(F.xxhash64("key", lo, hi).alias("cell"), F.when(lo == hi, 2).when(F.col("own") == lo, 0).otherwise(1).alias("side"), "id", "n", "sig", "posted", "coordinate", "wide")
+    side = F.when(lo == hi, 2).when(F.col("own") == lo, 0).otherwise(1)
+    return rows.withColumn("wide", F.lit(True)).select(F.xxhash64("key", lo, hi).alias("cell"), side.alias("side"), *CELL)
 
 
 def member_sets(docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
@@ -310,22 +335,37 @@ def grouped(docs: DataFrame, key: str, text: str, k: int, threshold: float) -> t
     # a class's prefix: its posted coordinates but those of its longest lists, as few as linked
     # classes share at least, less one. Lists of one class are no loss and not counted
     met = posting.join(lists, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("len", "key", "coordinate"))).alias("met"))
+    met = met.withColumn("met_len", F.aggregate("met", F.lit(0).cast("bigint"), lambda acc, m: acc + m["len"]))
     met = met.withColumn("met", F.slice("met", F.lit(1), F.greatest(F.size("met") - (POSTED_SHARED - 1), F.lit(0))))
     met = met.withColumn("posted", F.aggregate("met", F.lit(0).cast("bigint"), lambda acc, m: acc + F.pow(F.lit(2.0), m["coordinate"]).cast("bigint")))
-    prefix = stage(met.select("id", "n", "posted", F.inline("met")).drop("len"), "postings")
+    prefix = stage(met.select("id", "n", "posted", "met_len", F.inline("met")).drop("len"), "postings")
     lengths = stage(prefix.groupBy("key").agg(F.count("*").alias("len"), F.sum("n").alias("weight")).where("len > 1"), "lengths")
-
-    prepare(spark, 4000)
-    cells = deal(prefix.join(lengths, "key"), classes).repartition(F.col("cell")).sortWithinPartitions("cell")
-    merged = stage(merge_lists(cells, threshold), "merged")
-    pairs = merged.where("cell IS NULL").select("a", "b")
-    wide = merged.where("cell IS NOT NULL").select("cell", F.col("a").alias("id"), F.col("b").alias("side"))
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(wide.select("id")).distinct()
-    sets = member_sets(docs, key, text, k, classes, ids)
-    links = confirm(pairs, sets, threshold)
-    dealt = wide.join(sets, "id").repartition(F.col("cell")).sortWithinPartitions("cell")
-    links = stage(links.unionAll(link_cells(dealt, threshold)), "links")
+    lists = prefix.join(lengths, "key")
+    long = lists.where((F.col("len") > WIDE) & (blocks(F.col("len"), F.col("weight")) > 1))
+    # the class in the longest lists is likeliest to be what a group's others are copies of
+    leaders = stage(long.groupBy("key").agg(F.max_by("id", F.struct("met_len", F.xxhash64("id"))).alias("leader")), "leaders")
+
+    def links_of(cells: DataFrame) -> DataFrame:
+        prepare(spark, 4000)
+        merged = stage(merge_lists(cells.repartition(F.col("cell")).sortWithinPartitions("cell"), threshold), "merged")
+        pairs = merged.where("cell IS NULL").select("a", "b")
+        wide = merged.where("cell IS NOT NULL").select("cell", F.col("a").alias("id"), F.col("b").alias("side"))
+        ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(wide.select("id")).distinct()
+        sets = member_sets(docs, key, text, k, classes, ids)
+        links = confirm(pairs, sets, threshold)
+        dealt = wide.join(sets, "id").repartition(F.col("cell")).sortWithinPartitions("cell")
+        return stage(links.unionAll(link_cells(dealt, threshold)), "links")
+
+    links = links_of(deal(lists.join(leaders, "key", "left"), classes))
     labels = components(links, "a", "b")
+    if leaders.limit(1).count():
+        # classes already in the leader's component need not meet one another, all others meet all
+        label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+        led = leaders.join(label("leader"), "leader", "left").select("key", F.coalesce("leader_in", "leader").alias("leader_in"))
+        rest = long.join(led, "key").join(label("id"), "id", "left").withColumn("covered", F.coalesce("id_in", "id") == F.col("leader_in"))
+        rest = stage(rest.select("key", "id", "n", "posted", "coordinate", "covered"), "rest")
+        if rest.where("NOT covered").limit(1).count():
+            labels = components(links.unionAll(links_of(deal_rest(rest, classes))), "a", "b")
     reps = classes.select(F.col("id").alias("node"), "rep").join(labels, "node")
     least = reps.groupBy("component").agg(F.min("rep").alias("least"))
     named = reps.join(least, "component").select(F.col("node").alias("id"), "least", "component")

@@ -64,6 +64,36 @@ def test_components(spark, monkeypatch, wide, block):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(sets[r.doc_id]) for r in got.values())
 
 
+def test_longer_lists_meet_by_way_of_their_leader(spark, monkeypatch):
+    """Copies of one text are all found by way of it; strangers that share half their words, and pairs
+    among them, still meet block by block."""
+    monkeypatch.setattr(minhash, "WIDE", 6)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    left = []
+    real = minhash.deal_rest
+    monkeypatch.setattr(minhash, "deal_rest", lambda lists, classes: left.append(lists) or real(lists, classes))
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, half = [word() for _ in range(120)], [word() for _ in range(60)]
+    copies = [" ".join(base)]
+    for i in range(50):
+        w = base[:]
+        w[rng.randrange(len(w))] = f"x{i}"
+        copies.append(" ".join(w))
+    strangers = []
+    for _ in range(40):
+        w = half + [word() for _ in range(30)]
+        strangers += [" ".join(w), " ".join([*w, "end"])] if rng.random() < 0.5 else [" ".join(w)]
+    for docs, more in ((copies, False), (strangers + copies, True)):
+        left.clear()
+        sets = [shingles(t, 4) for t in docs]
+        links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+        rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(rows, k=4).collect()}
+        assert [got[i] for i in range(len(docs))] == components(len(docs), links)
+        assert bool(left) == more
+
+
 def test_rows_that_repeat_and_rows_without_a_key(spark):
     long = " ".join(f"w{i}" for i in range(40))
     rows = spark.createDataFrame([(2, long), (2, long), (1, long + " x"), (None, long), (5, "other text of its own"), (5, "again quite another text")], "doc_id long, text string")
