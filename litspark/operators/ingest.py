@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..functions.validate import pmid_reason, valid_pmid
+from ..shared import numbered
 
 # A record's fields and the columns they may come in, in order.
 FIELDS = {
@@ -48,9 +49,8 @@ def export_rows(found: DataFrame) -> DataFrame:
 def mark_duplicates(rows: DataFrame, order: str = "row_no", pmid: str = "raw_pmid") -> DataFrame:
     """Adds ``pmid`` (stripped), ``reason`` (null if valid) and ``occurrence`` among the valid."""
     out = rows.withColumn("pmid", strip(F.col(pmid))).withColumn("reason", pmid_reason(F.col(pmid)))
-    apart = F.when(F.col("reason").isNotNull(), F.col(order))  # what is invalid has no occurrence and needs no company
-    n = F.row_number().over(Window.partitionBy("pmid", apart).orderBy(order))
-    return out.withColumn("occurrence", F.when(F.col("reason").isNull(), n))
+    out = out.withColumn("its_valid", F.when(F.col("reason").isNull(), F.col("pmid")))
+    return numbered(out, "its_valid", order, "occurrence").drop("its_valid")
 
 
 def unique_records(rows: DataFrame, order: str = "row_no", pmid: str = "raw_pmid") -> DataFrame:

@@ -27,18 +27,13 @@ def table_runs(rows: DataFrame, key: str = "doc_id", strict: bool = False, conte
     marked = marked.withColumn("run", F.sum(change).over(order))
     marked = marked.withColumn("start", F.when(F.col("member"), F.min(F.when(F.col("full"), F.col("i"))).over(Window.partitionBy(key, "run"))))
     marked = marked.withColumn("start", F.when(F.col("i") >= F.col("start"), F.col("start")))
-    # a document's lines in one row: the windows' partitioning serves, and tables are slices of it
-    every = marked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "raw", "start"))).alias("all"))
-    starts = F.array_sort(F.array_distinct(F.filter(F.transform("all", lambda x: x["start"]), lambda x: x.isNotNull())))
-    found = every.select(key, "all", F.posexplode(starts).alias("table_index", "start"))
-    n = F.size(F.filter("all", lambda x: F.coalesce(x["start"] == F.col("start"), F.lit(False))))
-    part = lambda at, size: F.array_join(F.transform(F.slice("all", at, size), lambda x: x["raw"]), "\n")
-    first = F.greatest(F.col("start") - context, F.lit(0))
-    found = found.withColumn("n", n)
-    out = found.select(
-        key, "table_index", (F.col("start") + 1).alias("line_start"), part(F.col("start") + 1, F.col("n")).alias("table_text"),
-        part(first + 1, F.col("start") - first).alias("before_context"), part(F.col("start") + F.col("n") + 1, F.lit(context)).alias("after_context"),
-    )
+    # each line has its neighbours beside it, so a table needs no line but its own
+    near = lambda lo, hi: F.array_join(F.collect_list("raw").over(order.rowsBetween(lo, hi)), "\n")
+    marked = marked.withColumn("above", near(-context, -1)).withColumn("below", near(1, context)).where("start IS NOT NULL")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "raw"))), lambda x: x["raw"]), "\n")
+    found = marked.groupBy(key, "start").agg(text.alias("table_text"), F.min_by("above", "i").alias("before_context"), F.max_by("below", "i").alias("after_context"))
+    index = F.row_number().over(Window.partitionBy(key).orderBy("start")) - 1
+    out = found.select(key, index.alias("table_index"), (F.col("start") + 1).alias("line_start"), "table_text", "before_context", "after_context")
     mark = F.concat(F.lit("\n[TABLE "), (F.col("table_index") + 1).cast("string"), F.lit("]\n"))
     return out.withColumn("full_context", F.concat(F.col("before_context"), mark, F.col("after_context")))
 

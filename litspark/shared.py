@@ -48,3 +48,19 @@ def running(rows: DataFrame, order: str, **sums: Column) -> DataFrame:
     own = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     out = ranges.withColumns({f"to_{n}": F.sum(f"own_{n}").over(own) for n in sums}).join(starts, "part")
     return out.select("row", *[(F.col(f"to_{n}") + F.col(f"from_{n}")).alias(n) for n in sums]).select("row.*", *sums)
+
+
+def numbered(rows: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """``rows`` with their number among those of one ``key``, in the order of ``order``; none without a key.
+
+    As in :func:`running`, a key's rows are numbered by ranges, so that a key of very many rows is no single
+    task's; what a key has in the ranges before, a row for each range, is added.
+    """
+    given = rows.select(F.struct("*").alias("row"), F.col(key).alias("its_key"), F.col(order).alias("place"))
+    ranges = written(given.repartitionByRange(F.col("place")).withColumn("part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("its_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    n = ranges.where("its_key IS NOT NULL").groupBy("its_key", "part").agg(F.count("*").alias("n"))
+    starts = n.select("its_key", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("its_key", "part").orderBy("place"))
+    out = ranges.withColumn("own", own).join(starts, ["its_key", "part"], "left")
+    return out.select("row.*", (F.col("own") + F.col("start")).alias(name))

@@ -85,6 +85,23 @@ def test_blank_separated_tables_merge(spark):
     assert [(r.table_text, r.before_context, r.after_context) for r in found] == [("| a |\n\n| b |\n", "x", "y\n| half")]
 
 
+def test_many_tables_of_one_document(spark):
+    text = "\n".join(x for i in range(3000) for x in (f"| {i} |", f"t{i}"))
+    found = T.table_runs(S.lines(docs(spark, text)), context=3).orderBy("table_index").collect()
+    assert [r.table_text for r in found] == [f"| {i} |" for i in range(3000)]
+    assert (found[0].before_context, found[9].line_start) == ("", 19)
+    assert (found[9].before_context, found[9].after_context) == ("t7\n| 8 |\nt8", "t9\n| 10 |\nt10")
+
+
+def test_duplicates_of_a_frequent_identifier(spark):
+    hot = spark.range(5000).select(F.col("id").alias("row_no"), F.expr("if(id % 3 = 0, ' 12345678 ', if(id % 3 = 1, '', cast(20000000 + id as string)))").alias("raw_pmid"))
+    got = I.mark_duplicates(hot.repartition(7)).orderBy("row_no").collect()
+    assert [r.row_no for r in got] == list(range(5000))
+    assert [r.occurrence for r in got[::3]] == list(range(1, len(got[::3]) + 1))
+    assert all(r.occurrence is None and r.reason for r in got[1::3]) and all(r.occurrence == 1 for r in got[2::3])
+    assert I.mark_duplicates(hot.where("row_no < 0")).count() == 0
+
+
 def test_blank_cells_delete_rows(spark):
     got = docs(spark, "| h | i |\n|---|---|\n| 1 | 2 |\n| 3 |  |", "<table></table>", "").select(T.structure(F.col("md")).alias("t")).collect()
     assert [(r.t.num_rows, r.t.num_columns, r.t.has_header) for r in got] == [(1, 2, True), (0, 1, False), (0, 0, False)]
