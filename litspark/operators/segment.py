@@ -14,9 +14,11 @@ CORE_ARRAY = lambda: F.array(*[F.lit(c) for c in CORE])
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
-    """A row (key, i, raw, s) per line, i from 0, s stripped; a null text has none."""
+    """A row (key, i, raw, s) per line, i from 0, s stripped; a null text has none. The rows come dealt by
+    document, as the windows over them need it: so only ``raw`` moves, and ``s`` is made behind the shuffle."""
     split = F.split(F.regexp_replace(F.col(text), r"\r\n?", "\n"), "\n", -1)
-    return docs.select(key, F.posexplode_outer(split).alias("i", "raw")).where("raw IS NOT NULL").withColumn("s", strip("raw"))
+    rows = docs.select(key, F.posexplode_outer(split).alias("i", "raw")).where("raw IS NOT NULL").repartition(F.col(key))
+    return rows.withColumn("s", strip("raw"))
 
 
 def line_kinds(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -181,15 +183,23 @@ def map_sections(titles: DataFrame, classification: DataFrame, key: str = "doc_i
     kind = classification.schema["headings"].dataType.simpleString()
     names = F.col("headings") if kind.startswith("array") else F.filter(F.transform(F.split("headings", ","), strip), lambda h: h != "")
     rank = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("category"))
-    known = classification.select(key, "category", rank.alias("rank"), F.explode(names).alias("heading")).groupBy(key, "heading").agg(F.min_by("category", "rank").alias("category"))
-    return titles.select(key, "heading").distinct().where(strip("heading") != "").join(known, [key, "heading"], "left")
+    known = classification.select(key, rank.alias("rank"), "category", F.explode(names).alias("heading"))
+    # titles and answers meet in an aggregation by document and heading, which keeps their dealing by document
+    both = titles.select(key, "heading", F.lit(True).alias("title"), F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("category"))
+    both = both.unionByName(known.select(key, "heading", F.lit(None).cast("boolean").alias("title"), F.col("rank").cast("int").alias("rank"), "category"))
+    out = both.where(strip("heading") != "").groupBy(key, "heading").agg(F.min_by("category", "rank").alias("category"), F.max("title").alias("title"))
+    return out.where("title").select(key, "heading", "category")
 
 
 def reorganize(structure: DataFrame, mapping: DataFrame, key: str = "doc_id") -> DataFrame:
     """A row per document: texts of the five core parts and of the rest, their words and characters,
     the document's, and the words in no core part."""
+    nothing = lambda t: F.lit(None).cast(t)
+    given = mapping.select(key, "heading", "category", nothing("int").alias("pos"), nothing("string").alias("content"))
+    rows = structure.select(key, "heading", nothing("string").alias("category"), F.col("pos").cast("int").alias("pos"), "content").unionByName(given)
+    rows = rows.groupBy(key, "heading").agg(F.min("category").alias("category"), F.max(F.struct("pos", "content")).alias("x")).where("x.pos IS NOT NULL")
     part = F.when(F.col("category").isin(*CORE), F.col("category")).otherwise("Unassigned")
-    rows = structure.join(mapping.select(key, "heading", "category"), [key, "heading"], "left").withColumn("part", part)
+    rows = rows.select(key, "x.pos", "x.content", part.alias("part"))
     joined = lambda cond, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("pos", "content")))), lambda x: F.concat(x["content"], F.lit(sep))), "")
     names = [*CORE, "Unassigned"]
     out = rows.groupBy(key).agg(

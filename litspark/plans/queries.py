@@ -18,6 +18,7 @@ from ..operators import reports as R
 from ..operators import screening as C
 from ..operators import segment as S
 from ..operators import tables as T
+from ..shared import written
 from . import pipelines as P
 from .views import duck, table, view
 
@@ -383,15 +384,14 @@ RANK = "list_position(['" + "', '".join(X.CATEGORIES) + "'], list_category)"
 MAPPED = LISTED + f", mp AS (SELECT doc_id, heading, arg_min(list_category, {RANK}) AS category FROM hl WHERE heading <> '' GROUP BY doc_id, heading)"
 
 
-def mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    found = S.blocks(S.line_kinds(md_lines(spark, d)))
+def mapped(found: DataFrame) -> DataFrame:
     listed = S.classify_heading_list(found).groupBy("doc_id", F.col("list_category").alias("category")).agg(F.collect_list("heading").alias("headings"))
-    return found, S.map_sections(found, listed)
+    return S.map_sections(found, listed)
 
 
 @query(f"WITH {MAPPED} SELECT doc_id, heading, category FROM mp", "v_md")
 def section_map(spark: SparkSession, d: str) -> DataFrame:
-    return mapped(spark, d)[1]
+    return mapped(S.blocks(S.line_kinds(md_lines(spark, d))))
 
 
 _part = lambda n: f"coalesce(string_agg(content || chr(10) || chr(10), '' ORDER BY pos) FILTER (part = '{n}'), '')"
@@ -405,8 +405,9 @@ rw AS (SELECT *, {_words('whole')} AS total_words, {' + '.join(_words(f'p_{n}')
 
 
 def reorganized(spark: SparkSession, d: str) -> DataFrame:
-    found, mapping = mapped(spark, d)
-    return S.reorganize(S.document_structure(found), mapping)
+    # blocks are made once and dealt by document once; all that follows stays in that dealing
+    found = written(S.blocks(S.line_kinds(md_lines(spark, d))), "blocks").repartition(F.col("doc_id"))
+    return S.reorganize(S.document_structure(found), mapped(found))
 
 
 @query(
