@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, tokens
+from ..shared import written
 
 # Features by their direct parents.
 CHILDREN = {
@@ -122,6 +123,16 @@ def flat_features(closed: DataFrame, task: str = "task_id") -> DataFrame:
 
 #: Characters by which texts and terms are joined.
 GRAM = 4
+#: Bytes that words or terms of concepts take at most (100 a row besides the words) if all tasks are to have them.
+SENT = 8 << 20
+
+
+def met(rows: DataFrame, side: DataFrame, by: str) -> DataFrame:
+    """``rows`` of texts joined with the words or terms of concepts. These go to all tasks if they are measured to
+    be few, else both sides are dealt by key. The planner would go by the size of compressed files, in which
+    the texts' words and runs look small, and gather those in the driver."""
+    size = side.agg(F.sum(F.octet_length(by) + 100)).first()[0] or 0
+    return rows.join(side.hint("broadcast" if size <= SENT else "shuffle_merge"), by)
 
 
 def concept_scores(texts: DataFrame, concepts: DataFrame, key: str = "text_id", text: str = "text") -> DataFrame:
@@ -131,10 +142,11 @@ def concept_scores(texts: DataFrame, concepts: DataFrame, key: str = "text_id",
 
     Shared words meet by an equi-join. So do texts and the terms that may be in them: by a term's first
     four characters (all of a shorter one) among the text's runs of so many, which the text then confirms.
+    Concepts are written first, so that they are computed once; whatever holds texts is never broadcast.
     """
     own = texts.select(key, F.lower(text).alias("low"))
-    named = concepts.select("concept_id", F.lower("name").alias("name"), F.lower("definitions").alias("defs"))
-    shared = own.select(key, F.explode(F.array_distinct(tokens("low"))).alias("word")).join(named.select("concept_id", F.explode(F.array_distinct(tokens("defs"))).alias("word")), "word")
+    named = written(concepts.select("concept_id", F.lower("name").alias("name"), F.lower("definitions").alias("defs")), "concepts")
+    shared = met(own.select(key, F.explode(F.array_distinct(tokens("low"))).alias("word")), named.select("concept_id", F.explode(F.array_distinct(tokens("defs"))).alias("word")), "word")
     shared = shared.groupBy(key, "concept_id").agg((F.count("*") * 0.5).alias("points"))
     words = named.select("concept_id", F.explode(tokens("name")).alias("term")).where(F.length("term") > 3).withColumn("points", F.lit(1.0))
     terms = words.unionAll(named.select("concept_id", F.col("name").alias("term"), F.lit(2.0).alias("points"))).groupBy("concept_id", "term").agg(F.sum("points").alias("points"))
@@ -145,8 +157,9 @@ def concept_scores(texts: DataFrame, concepts: DataFrame, key: str = "text_id",
         return F.transform(F.sequence(F.lit(1), F.greatest(F.length("low") - (n - 1), F.lit(1))), lambda i: F.substring("low", i, F.lit(n)))
 
     grams = F.array_distinct(F.flatten(F.array(*[runs(n) for n in sizes]))) if sizes else F.array(F.lit(""))
-    near = own.select(key, F.explode(grams).alias("gram")).join(begun, "gram").select(key, "term")
-    held = own.join(near, key).where(F.col("low").contains(F.col("term"))).select(key, "term").join(terms, "term").select(key, "concept_id", "points")
+    near = met(own.select(key, F.explode(grams).alias("gram")), begun, "gram").select(key, "term")
+    held = own.join(near.hint("shuffle_merge"), key).where(F.col("low").contains(F.col("term"))).select(key, "term")
+    held = met(held, terms, "term").select(key, "concept_id", "points")
     return shared.unionByName(held).groupBy(key, "concept_id").agg(F.least(F.sum("points"), F.lit(10.0)).alias("relevance_score"))
 
 

@@ -241,3 +241,29 @@ def test_pages_stream_and_fail_apart(spark):
     files = spark.createDataFrame([("good",), ("bad",)], "path string")
     got = sorted((r.path, r.page_num, bytes(r.image) if r.image else None, r.error) for r in A.explode_pages(files, make, ["path"]).collect())
     assert got == [("bad", 1, b"1", None), ("bad", 2, None, "ValueError: torn"), ("good", 1, b"1", None), ("good", 2, b"2", None)]
+
+
+def test_texts_of_concept_scores_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Their files may be smaller than the concepts'."""
+    texts, concepts = f"{tmp_path}/texts", f"{tmp_path}/concepts"
+    spark.createDataFrame([(1, "Steel and a red cat"), (2, "nothing"), (3, None)], "text_id long, text string").coalesce(1).write.parquet(texts)
+    long = [(str(i), f"{i}w{i * i}", f"d{i * 7} e{i * 11}") for i in range(2000)]
+    spark.createDataFrame([("c", "red cat", "steel of a cat"), ("d", "Cat", "nothing"), *long], "concept_id string, name string, definitions string").coalesce(1).write.parquet(concepts)
+
+    def sent(plan):
+        """Whether a broadcast reads the texts."""
+        deep, found = None, 0
+        for line in plan.splitlines():
+            at = len(line) - len(line.lstrip(" :+-"))
+            deep = None if deep is not None and at <= deep else deep
+            deep = at if deep is None and "BroadcastExchange" in line else deep
+            found += deep is not None and "FileScan parquet [text_id" in line
+        return found
+
+    for size, broadcasts in ((O.SENT, 3), (0, 0)):
+        monkeypatch.setattr(O, "SENT", size)
+        df = O.concept_scores(spark.read.parquet(texts), spark.read.parquet(concepts))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet [text_id" in plan and not sent(plan)
+        assert plan.count("BroadcastExchange") == broadcasts
+        assert sorted(map(tuple, df.collect())) == [(1, "c", 3.5), (1, "d", 2.0), (2, "d", 0.5)]
