@@ -169,22 +169,44 @@ def first_source(sources: list[Callable[[dict], str | None]]) -> Callable[[], Ca
     return make
 
 
+#: Pages and bytes of images that a renderer's task hands on at once, at most; a larger page goes alone.
+PAGES, PAGE_BYTES = 2000, 16 << 20
+
+
 def explode_pages(files: DataFrame, make: Callable[[], Callable[[dict], Iterator[bytes]]], inputs: list[str], key: str = "path") -> DataFrame:
-    """(key, page_num, image, error): a renderer's pages of each file, streamed; a file that can't be
-    rendered is one row with the error."""
-    send_package(files.sparkSession)
+    """(key, page_num, image, error): a renderer's pages of each file, streamed in batches of bounded size; a
+    file that can't be rendered is one row with the error. A row is small and its file slow to render, so files
+    are dealt over all tasks, however few the table's own are."""
+    spark = files.sparkSession
+    send_package(spark)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         render = make()
-        for b in batches:
-            for r in b[inputs].to_dict("records"):
-                n = 0
-                try:
-                    for image in render(r):
-                        n += 1
-                        yield pd.DataFrame({"k": [r[key]], "page_num": [n], "image": [image], "error": [None]})
-                except Exception as e:  # noqa: BLE001
-                    yield pd.DataFrame({"k": [r[key]], "page_num": [n + 1], "image": [None], "error": [f"{type(e).__name__}: {e}"]})
 
-    out = files.select(*inputs).mapInPandas(work, "k string, page_num int, image binary, error string")
-    return out.withColumnRenamed("k", key)
+        def pages() -> Iterator[tuple]:
+            for b in batches:
+                for r in b[inputs].to_dict("records"):
+                    n = 0
+                    try:
+                        for image in render(r):
+                            n += 1
+                            yield r[key], n, image, None
+                    except Exception as e:  # noqa: BLE001
+                        yield r[key], n + 1, None, f"{type(e).__name__}: {e}"
+
+        def frame(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=["k", "page_num", "image", "error"], dtype=object)
+
+        held, size = [], 0
+        for row in pages():
+            own = len(row[2] or b"") + len(row[3] or "")
+            if held and (len(held) == PAGES or size + own > PAGE_BYTES):
+                yield frame(held)
+                held, size = [], 0
+            held.append(row)
+            size += own
+        if held:
+            yield frame(held)
+
+    dealt = files.select(*inputs).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.mapInPandas(work, "k string, page_num int, image binary, error string").withColumnRenamed("k", key)

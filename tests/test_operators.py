@@ -267,3 +267,36 @@ def test_texts_of_concept_scores_are_never_broadcast(spark, tmp_path, monkeypatc
         assert "FileScan parquet [text_id" in plan and not sent(plan)
         assert plan.count("BroadcastExchange") == broadcasts
         assert sorted(map(tuple, df.collect())) == [(1, "c", 3.5), (1, "d", 2.0), (2, "d", 0.5)]
+
+
+def test_pages_are_handed_on_in_bounded_batches_by_many_tasks(spark, monkeypatch):
+    def make():
+        def render(r):
+            for i in range(r["n"]):
+                yield b"x" * (i + 1)
+            if r["n"] == 3:
+                raise ValueError("torn")
+
+        return render
+
+    files = spark.range(200).selectExpr("string(id) AS path", "int(id % 4) AS n").coalesce(1)
+    expected = sorted([(str(i), k + 1, k + 1, None) for i in range(200) for k in range(i % 4)] + [(str(i), 4, None, "ValueError: torn") for i in range(3, 200, 4)])
+    work = {}
+
+    def kept(rows, f, schema):
+        work["f"], work["tasks"] = f, rows.rdd.getNumPartitions()
+        return mapped(rows, f, schema)
+
+    mapped = type(files).mapInPandas
+    monkeypatch.setattr(type(files), "mapInPandas", kept)
+    for most, size in ((A.PAGES, A.PAGE_BYTES), (7, A.PAGE_BYTES), (100, 5), (100, 1)):
+        monkeypatch.setattr(A, "PAGES", most)
+        monkeypatch.setattr(A, "PAGE_BYTES", size)
+        out = A.explode_pages(files, make, ["path", "n"])
+        assert work["tasks"] == 4  # the session's number
+        batches = list(work["f"](iter([files.toPandas()])))
+        rows = [r for b in batches for r in b.itertuples(index=False)]
+        assert sorted((r.k, r.page_num, len(r.image) if r.image else None, r.error) for r in rows) == expected
+        assert len(batches) <= 1 + len(rows) // min(most, max(1, size // 30))
+        assert all(len(b) <= most and (len(b) == 1 or sum(len(x or b"") for x in b["image"]) <= size) for b in batches)
+    assert sorted((r.path, r.page_num, len(r.image) if r.image else None, r.error) for r in out.collect()) == expected
