@@ -18,13 +18,14 @@ ARROW_ROWS = 500
 DOC_COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
-def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+def prepare(spark: SparkSession, rows: int = ARROW_ROWS, bloom: bool = True) -> None:
     """Small Arrow batches, so that a worker's memory does not follow the longest documents; and
     this package for the executors' Python, wherever they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     # Spark's own Bloom filter before the shuffle, from smaller tables on; its size is bounded by
-    # spark.sql.optimizer.runtime.bloomFilter.maxNumBits, and without it the join does all the work
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB")
+    # spark.sql.optimizer.runtime.bloomFilter.maxNumBits, and without it the join does all the work.
+    # Each passes through the driver, once more with every stage that uses it: where all rows meet, none
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB" if bloom else str(2**63 - 1))
     send_package(spark)
 
 

@@ -143,6 +143,37 @@ def test_repeated_row_stays_once(spark):
     assert out.columns == rows.columns and sorted(r.doc_id for r in out.collect()) == [2, 3]
 
 
+def test_no_bloom_filters_where_all_rows_meet(spark, monkeypatch):
+    """Each is as large as a table of a million keys needs, and the driver holds it with every stage that uses it."""
+    plans = {}
+
+    def lower(session, *a, **k):  # as if every table were of the size from which they are allowed
+        common.prepare(session, *a, **k)
+        if session.conf.get(limit) == "32MB":
+            session.conf.set(limit, "0")
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return common.stage(df, name)
+
+    limit, broadcast = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(broadcast)
+    monkeypatch.setattr(minhash, "prepare", lower)
+    monkeypatch.setattr(minhash, "stage", kept)
+    spark.conf.set(broadcast, "-1")
+    try:
+        words = [" ".join(f"w{i}" for i in range(n)) for n in (40, 41, 60, 90)]
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate([*words, words[3], ""])] + [(3, words[3])], "doc_id long, text string")
+        out = minhash.drop_near_duplicates(rows)
+        plans["out"] = out._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3, 5]
+    finally:
+        spark.conf.set(broadcast, was)
+        common.prepare(spark)
+    after = list(plans)[list(plans).index("named") + 1 :]
+    assert len(after) > 1 and not [name for name in after if "might_contain" in plans[name]]
+
+
 def test_components_of_a_long_path(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in common.components(path, "a", "b").collect()}
